@@ -71,7 +71,7 @@ def nearest(
         joined = attach(left, packed.drop("__slot"), bucket, broadcast_rows=limit)
         best = joined.withColumn("__best", F.array_min(usable)).drop("__points")
     else:
-        slots = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("bigint")
+        slots = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint")))
         joined = attach(left.withColumn("__slot", slots), packed, [*bucket, "__slot"], broadcast_rows=limit)
         each = joined.withColumn("__best", F.array_min(usable)).drop("__points", "__slot")
         others = [c for c in left.columns if c not in row_id]
