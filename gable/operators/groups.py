@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gable.functions import scores
-from gable.operators.ordered import group_quantiles
-from gable.runtime import attach
+from gable.operators.ordered import group_quantiles, quantile_scalar
+from gable.runtime import attach, stage, zip_groups
 
 
 def conditional_counts(conditions: Mapping[str, Column]) -> list[Column]:
@@ -46,31 +46,31 @@ def price_stats(
     )
     medians = group_quantiles(positive, by, value, {f"{prefix}median": 0.5}, exact=exact)
     medians = medians.withColumn(f"{prefix}median", plain(F.col(f"{prefix}median").cast("double")))
-    return attach(moments, medians, by, null_safe=True)
+    return zip_groups(moments, medians, by)
 
 
-def iqr_bounds(df: DataFrame, by: Sequence[str], value: str, k: float = 1.5, *, exact: bool = True) -> DataFrame:
-    """Quartiles, extremes and outlier bounds of each group."""
-    present = df
-    for column in [*by, value]:
-        present = present.filter(F.col(column).isNotNull())
-    quartiles = group_quantiles(present, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, exact=exact)
+def _quartiles(df: DataFrame, by: Sequence[str], value: str, k: float, exact: bool) -> DataFrame:
+    """Quartiles and outlier bounds of each group with a full key."""
+    known = df.na.drop(subset=list(by))
+    quartiles = group_quantiles(known, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, exact=exact)
     spread = F.col("q3") - F.col("q1")
-    extremes = present.groupBy(*by).agg(
+    return quartiles.withColumns({"lower_bound": F.col("q1") - k * spread, "upper_bound": F.col("q3") + k * spread})
+
+
+def iqr_bounds(df: DataFrame, by: Sequence[str], value: str, k: float = 1.5, *, exact: bool = True) -> DataFrame:
+    """Quartiles, outlier bounds, size, extremes and mean of each group."""
+    extremes = df.na.drop(subset=[*by, value]).groupBy(*by).agg(
         F.count("*").alias("row_count"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
         F.avg(value).alias("mean"),
     )
-    bounds = quartiles.withColumns(
-        {"lower_bound": F.col("q1") - k * spread, "upper_bound": F.col("q3") + k * spread}
-    )
-    return attach(extremes, bounds, by)
+    return zip_groups(extremes, _quartiles(df, by, value, k, exact), by)
 
 
 def remove_iqr_outliers(df: DataFrame, by: Sequence[str], value: str, k: float = 1.5, *, exact: bool = True) -> DataFrame:
     """Drop rows outside their group's bounds; null values and groups are kept."""
-    bounds = iqr_bounds(df, by, value, k, exact=exact).select(*by, "lower_bound", "upper_bound")
+    bounds = _quartiles(df, by, value, k, exact).select(*by, "lower_bound", "upper_bound")
     joined = attach(df, bounds, by)
     outside = (F.col(value) < F.col("lower_bound")) | (F.col(value) > F.col("upper_bound"))
     return joined.filter(~F.coalesce(outside, F.lit(False))).drop("lower_bound", "upper_bound")
@@ -78,8 +78,6 @@ def remove_iqr_outliers(df: DataFrame, by: Sequence[str], value: str, k: float =
 
 def tier_vs_median(df: DataFrame, by: str, value: str, name: str, *, high: float = 1.5, low: float = 0.7, exact: bool = True) -> DataFrame:
     """Tier of each group's average against the overall median, as (by, name)."""
-    from gable.operators.ordered import quantile_scalar
-
     priced = df.filter(F.col(value).isNotNull())
     middle = quantile_scalar(priced, value, 0.5, exact=exact)
     averages = priced.filter(F.col(by).isNotNull()).groupBy(by).agg(F.avg(value).alias("__avg"))
@@ -88,9 +86,6 @@ def tier_vs_median(df: DataFrame, by: str, value: str, name: str, *, high: float
 
 def volume_tier(df: DataFrame, by: str, name: str = "tier", *, exact: bool = True) -> DataFrame:
     """High / Medium / Low-Volume by the 75th and 50th percentile of group sizes."""
-    from gable.operators.ordered import quantile_scalar
-    from gable.runtime import stage
-
     volumes = stage(df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("__n")), "volumes")
     upper = quantile_scalar(volumes, "__n", 0.75, exact=exact)
     middle = quantile_scalar(volumes, "__n", 0.5, exact=exact)

@@ -148,13 +148,15 @@ def pivot_measures(df: DataFrame, ids: Sequence[str], column: str, values: Seque
     return df.groupBy(*ids).pivot(column, list(values)).agg(measure)
 
 
-def one_hot(df: DataFrame, column: str, rule: Callable[[str], str], prefix: str = "cat_", max_labels: int = 500) -> DataFrame:
+def one_hot(df: DataFrame, column: str, rule: Callable[[str], str], prefix: str = "cat_", max_labels: int = 500, labels_from: DataFrame | None = None) -> DataFrame:
     """One 0/1 column per distinct label, in label order.
 
     Column names come from the data, so the labels are read first; more than
-    ``max_labels`` is an error, never a silent cut.
+    ``max_labels`` is an error, never a silent cut. ``labels_from`` may name a
+    cheaper frame that holds all labels of ``df``.
     """
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_labels + 1).collect()
+    source = df if labels_from is None else labels_from
+    found = source.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_labels + 1).collect()
     if len(found) > max_labels:
         raise ValueError(f"{column} has more than {max_labels} labels; encode it with label codes instead")
     labels = sorted(row[0] for row in found)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gable.plans import vocab
+from gable.runtime import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     """One flat listing per order line."""
-    line, order = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    line, order = spread(table(spark, folder, "lineitem")), table(spark, folder, "orders")
     part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
     nation = table(spark, folder, "nation")
     joined = (

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gable.functions import dates, scores
 from gable.operators import dedup, groups, joins, ordered, series, shape
 from gable.plans import vocab
-from gable.runtime import attach, stage
+from gable.runtime import attach, stage, zip_groups
 
 LOCATION_NATURAL = ["area_name", "ward_name", "street_name", "latitude", "longitude"]
 PROPERTY_NATURAL = ["category_name", "is_land", "is_apt", "is_house", "rooms", "has_rooms"]
@@ -147,7 +147,7 @@ def fact_properties(
     # The middle of the area averages is taken over listings, so weight the
     # few averages by their listings rather than sorting the listings.
     weights = silver.groupBy(*market).agg(F.count("*").alias("__rows"))
-    averages = attach(weights, stats.select(*market, "area_price_avg"), market).filter(F.col("area_price_avg").isNotNull())
+    averages = weights.join(stats.select(*market, "area_price_avg"), market)
     averages = averages.groupBy("area_price_avg").agg(F.sum("__rows").alias("__rows"))
     ranked = ordered.running_sum(averages, [], ["area_price_avg"], "__rows", "__upto", total="__all")
     half = F.col("__upto") >= F.col("__all") * 0.5
@@ -213,7 +213,7 @@ def fact_seller_time(silver: DataFrame, sellers: DataFrame, *, exact: bool = Tru
         *counts,
     )
     medians = ordered.group_quantiles(known, grain, "price", {"price_median": 0.5}, exact=exact)
-    fact = attach(totals, medians.withColumn("price_median", F.round("price_median", 0)), grain, null_safe=True)
+    fact = zip_groups(totals, medians.withColumn("price_median", F.round("price_median", 0)), grain)
     fact = joins.lookup_key(fact, sellers, ["account_id"], "seller_key")
     return fact.select(
         "seller_key", "time_key", "account_id", "account_name", "seller_type", "listing_count",

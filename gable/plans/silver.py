@@ -144,27 +144,33 @@ def clean_listings(
     kept = stage(quality.drop_any_null(unique, ADDRESS_COLUMNS), "unique")
     flagged = classify(quality.impute_median(kept, "number_of_images", exact=exact))
 
-    names = flagged.select("area_name", "ward_name").distinct()
-    area_codes = quality.extend_label_map(area_codes, names, "area_name") if area_codes else quality.label_map(names, "area_name")
-    ward_codes = quality.extend_label_map(ward_codes, names, "ward_name") if ward_codes else quality.label_map(names, "ward_name")
+    area_codes = stage(_codes(area_codes, flagged, "area_name"), "area-codes")
+    ward_codes = stage(_codes(ward_codes, flagged, "ward_name"), "ward-codes")
 
     priced = groups.remove_iqr_outliers(flagged, ["area_name"], "param_price_m2", exact=exact)
     sized = quality.drop_inconsistent(priced).withColumn("size", F.round("size", 2))
     placed = dedup_by_place(sized)
-    coded = joins.encode_labels(placed, "area_name", area_codes, "area_name_encoded")
-    coded = joins.encode_labels(coded, "ward_name", ward_codes, "ward_name_encoded")
-    coded = shape.one_hot(coded, "category_name", text.slug_label)
+    coded = shape.one_hot(placed, "category_name", text.slug_label, labels_from=kept)
+    coded = joins.encode_labels(coded, "area_name", area_codes, "area_name_encoded", staged=True)
+    coded = joins.encode_labels(coded, "ward_name", ward_codes, "ward_name_encoded", staged=True)
     silver = shape.project_existing(coded, SILVER_COLUMNS, ["cat_"])
     return shape.drop_null_typed(silver), area_codes, ward_codes
 
 
+def _codes(known: DataFrame | None, df: DataFrame, column: str) -> DataFrame:
+    return quality.label_map(df, column) if known is None else quality.extend_label_map(known, df, column)
+
+
 def clean_stations(raw: DataFrame, area_codes: DataFrame, ward_codes: DataFrame) -> DataFrame:
-    """Stations with numeric amenities and shared area / ward codes, one row per id."""
+    """Stations with numeric amenities and shared area / ward codes, one row per id.
+
+    The code tables are stored tables, as :func:`clean_listings` returns them.
+    """
     named = raw.withColumnsRenamed({"lat": "latitude", "lng": "longitude"})
     amenities = {c: text.bool_to_int(F.col(c)) for c in named.columns if c.startswith("amenity_")}
     typed = named.withColumns({"latitude": F.col("latitude").cast("double"), "longitude": F.col("longitude").cast("double"), **amenities})
-    coded = joins.encode_labels(typed, "area_name", area_codes, "area_name_encoded")
-    coded = joins.encode_labels(coded, "ward_name", ward_codes, "ward_name_encoded")
+    coded = joins.encode_labels(typed, "area_name", area_codes, "area_name_encoded", staged=True)
+    coded = joins.encode_labels(coded, "ward_name", ward_codes, "ward_name_encoded", staged=True)
     single = dedup.latest_by(coded, ["station_id"], [F.col("station_code").asc_nulls_last(), F.col("station_name").asc_nulls_last()])
     return shape.project_existing(single, STATION_COLUMNS)
 

@@ -61,8 +61,7 @@ class Warehouse(Mapping[str, DataFrame]):
 
     def _build_silver(self) -> None:
         rows, areas, wards = silver.clean_listings(self._listings, exact=self.exact)
-        for name, frame in (("silver_listings", rows), ("area_codes", areas), ("ward_codes", wards)):
-            self._built[name] = stage(frame, name)
+        self._built.update(silver_listings=stage(rows, "silver"), area_codes=areas, ward_codes=wards)
 
     def __iter__(self):
         yield from ("silver_listings", "area_codes", "ward_codes", *self._recipes, *views.VIEWS, "vw_ml_hotspot_dataset")

@@ -16,7 +16,7 @@ import itertools
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 #: Largest row count that may be broadcast. Rows here are narrow (keys plus a
 #: few measures), so this stays around 20 MB per executor.
@@ -70,17 +70,49 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return a scan of the written table.
 
     Cuts the lineage, makes non-deterministic columns (positions, partition
-    ids) stable, and gives Catalyst a true size for later joins.
+    ids) stable, and gives Catalyst a true size for later joins. Rows are
+    counted while they are written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.__dict__["_staged_rows"] = seen.get["rows"]
+    return staged
+
+
+def row_count(staged: DataFrame) -> int:
+    """Rows of a staged table: remembered from its write, else from the footers."""
+    known = staged.__dict__.get("_staged_rows")
+    return staged.count() if known is None else known
 
 
 def fits_broadcast(staged: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when a *staged* table has at most ``limit`` rows (footer count)."""
-    return staged.count() <= limit
+    """True when a *staged* table has at most ``limit`` rows."""
+    return row_count(staged) <= limit
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than cores; any larger scan is left alone.
+
+    Only the plan is inspected. A big table has more splits than cores, so
+    this never shuffles one.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+
+
+def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of two aggregates that are both unique on ``keys`` (nulls match).
+
+    Neither side can be skewed, so Spark is free to choose the join.
+    """
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    match = F.col(keys[0]).eqNullSafe(F.col(f"__{keys[0]}"))
+    for key in keys[1:]:
+        match = match & F.col(key).eqNullSafe(F.col(f"__{key}"))
+    return left.join(other, match, "left").drop(*[f"__{k}" for k in keys])
 
 
 def row_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
@@ -108,8 +140,8 @@ def attach(
     third of the left rows is still worked on by many tasks.
     """
     right = right if staged else stage(right, "attach")
-    right = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     small = fits_broadcast(right, broadcast_rows)
+    right = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     if not small:
         spread = list(spread_by or atomic_columns(left))
         left = left.withColumn("__salt", row_salt(spread, salts))

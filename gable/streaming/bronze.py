@@ -60,7 +60,7 @@ def enrich(records: DataFrame, defaults: Mapping[str, str], *, ingestion_type: s
 def drop_repeated(batch: DataFrame, stamp: str = "crawled_at") -> DataFrame:
     """One row per (date, record_id) of a batch; rows without an id all stay."""
     order = [F.col(stamp).asc_nulls_last()] if stamp in batch.columns else []
-    ties = [F.xxhash64(*[F.to_json(F.struct("*"))]).asc()]
+    ties = [F.xxhash64(*[F.col(c) for c, kind in batch.dtypes if "map<" not in kind]).asc()]
     known = dedup.latest_by(batch.filter(F.col("record_id").isNotNull()), ["date", "record_id"], [*order, *ties])
     return known.unionByName(batch.filter(F.col("record_id").isNull()))
 
