@@ -102,7 +102,7 @@ def load_bounds(spark: SparkSession, has_data: bool, today: str, *, initial: str
 def plan_windows(bounds: DataFrame, start: Column, end: Column, days: int) -> DataFrame:
     """Cut [start, end) into windows of ``days``; the last one is clipped."""
     starts = F.sequence(start, F.date_sub(end, 1), F.expr(f"interval {int(days)} days"))
-    cut = bounds.filter(start < end).select(F.explode(starts).alias("window_start"), end.alias("__end"))
+    cut = bounds.select(F.explode(F.when(start < end, starts)).alias("window_start"), end.alias("__end"))
     return cut.select("window_start", F.least(F.date_add("window_start", days), F.col("__end")).alias("window_end"))
 
 
