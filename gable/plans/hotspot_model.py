@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gable.functions import dates, scores
 from gable.operators import groups, series
 from gable.plans import gold, vocab
-from gable.runtime import stage
+from gable.runtime import attach, stage
 
 PLACE = ["area_name", "ward_name", "street_name"]
 
@@ -51,7 +51,9 @@ def place_days(t: Mapping[str, DataFrame]) -> DataFrame:
         "location_key", *PLACE, "area_name_encoded", "ward_name_encoded", "latitude", "longitude",
         F.col("location_tier").alias("place_tier"),
     )
-    fact = t["fact_properties"].filter(F.col("snapshot_date").isNotNull()).join(names, "location_key")
+    dated = t["fact_properties"].filter(F.col("snapshot_date").isNotNull())
+    fact = attach(dated, names, ["location_key"], staged=True, spread_by=gold.LISTING_ID)
+    fact = fact.filter(F.col("area_name").isNotNull())
     flags = {
         "apt_count": "is_apt", "house_count": "is_house", "land_count": "is_land",
         "fully_legal": "fully_legal", "risk_legal": "risk_legal",
@@ -176,16 +178,21 @@ def macro_f1(confusion: DataFrame) -> DataFrame:
     )
 
 
-def fit(train: DataFrame, *, trees: int = 40, depth: int = 8, seed: int = 7, max_bins: int = 512):
-    """Random forest over the declared features; Spark trains it in parallel."""
+def fit(train: DataFrame, *, trees: int = 40, depth: int = 8, seed: int = 7):
+    """Random forest over the declared features; Spark trains it in parallel.
+
+    Split bins follow the largest category, so no category is merged away.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 
     indexed = [f"{c}__index" for c in CATEGORICAL]
     filled = [f"{c}__filled" for c in NUMERIC]
+    indexer = StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep").fit(train)
+    max_bins = max(32, *[len(labels) + 2 for labels in indexer.labelsArray])
     stages = [
-        StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep"),
+        indexer,
         StringIndexer(inputCol="target_hotspot_level", outputCol="label", handleInvalid="skip"),
         Imputer(inputCols=NUMERIC, outputCols=filled, strategy="median"),
         VectorAssembler(inputCols=filled + indexed, outputCol="features", handleInvalid="keep"),

@@ -26,7 +26,11 @@ BROADCAST_ROWS = 100_000
 #: many tasks.
 SALTS = 16
 
+#: A scan of at most this many splits may be spread over the cores.
+SMALL_SCAN_SPLITS = 32
+
 _counter = itertools.count()
+_private: dict[str, str] = {}
 
 
 def build_session(name: str = "gable", master: str | None = None, **conf: object) -> SparkSession:
@@ -55,9 +59,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="gable-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _private:
+        _private[app] = tempfile.mkdtemp(prefix="gable-")
+    return _private[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -94,13 +99,14 @@ def fits_broadcast(staged: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than cores; any larger scan is left alone.
+    """Spread a scan of a few splits over the cores; any larger scan is left alone.
 
-    Only the plan is inspected. A big table has more splits than cores, so
-    this never shuffles one.
+    Only the plan is inspected, and the bound on splits keeps the shuffle to a
+    few gigabytes at most.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    few = min(cores // 2, SMALL_SCAN_SPLITS)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < few else df
 
 
 def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,6 +121,12 @@ def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(other, match, "left").drop(*[f"__{k}" for k in keys])
 
 
+def release_staged(spark: SparkSession) -> None:
+    """Delete everything this application staged. Call it when its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gable-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
     """Salt in ``0..salts-1`` computed from row content."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
