@@ -25,7 +25,7 @@ RECORD_SCHEMA = """record_id STRING, source STRING, crawled_at BIGINT, ingested_
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, folder: str, label: str, write) -> str:
+def once(spark: SparkSession, folder: str, label: str, write) -> str:
     """Path of files written once per application and data folder."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"), label)
     if key not in _written:
@@ -64,7 +64,7 @@ def nested_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bronze(spark: SparkSession, folder: str) -> str:
-    return _once(spark, folder, "bronze", lambda path: sinks.write_jsonl(nested_records(spark, folder), path))
+    return once(spark, folder, "bronze", lambda path: sinks.write_jsonl(nested_records(spark, folder), path))
 
 
 def _read_bronze(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +83,7 @@ def _(spark, folder):
     text = F.when(F.col("l_linenumber") == 5, F.concat(F.lit("broken "), F.col("l_orderkey"))).otherwise(
         F.to_json(F.struct("l_orderkey", "l_partkey", "l_tax"))
     )
-    path = _once(spark, folder, "lines", lambda p: line.select(text.alias("value")).write.text(p))
+    path = once(spark, folder, "lines", lambda p: line.select(text.alias("value")).write.text(p))
     read = readers.read_jsonl(spark, path, "l_orderkey BIGINT, l_partkey BIGINT, l_tax DOUBLE")
     return read.withColumnRenamed(readers.CORRUPT, "corrupt")
 
@@ -97,7 +97,7 @@ def _(spark, folder):
         rows = listings(spark, folder).select(*ID, "price", F.col("snapshot_date").alias("date"))
         rows.hint("rebalance", "date").write.partitionBy("date").parquet(path)
 
-    stored = spark.read.parquet(_once(spark, folder, "by-date", write))
+    stored = spark.read.parquet(once(spark, folder, "by-date", write))
     return readers.select_partition(stored, "2024-02-01").drop("date")
 
 
@@ -118,17 +118,20 @@ def _(spark, folder):
 TREND_SCHEMA = "load_type STRING, date STRING, keyword_group STRING, values MAP<STRING, INT>, isPartial BOOLEAN, collected_at_ms BIGINT"
 
 
-def _trend_records(spark: SparkSession, folder: str) -> DataFrame:
+def trend_records_path(spark: SparkSession, folder: str) -> str:
     """Search-interest records stored under the day they were collected, not their own date."""
     def write(path):
         rows = trends(spark, folder).withColumns(
             {"load_type": F.lit("daily"), "date": F.col("date").cast("string"), "isPartial": F.dayofmonth("date") == 30}
         )
-        records = readers.to_series_records(rows, {k: c for k, c in vocab.KEYWORDS.items()})
-        records = records.withColumn("collected_at_ms", F.lit(1_714_600_000_000))
-        records.write.json(f"{path}/date=2024-05-02")
+        records = readers.to_series_records(rows, vocab.KEYWORDS)
+        records.withColumn("collected_at_ms", F.lit(1_714_600_000_000)).write.json(f"{path}/date=2024-05-02")
+
+    return once(spark, folder, "interest", write)
 
-    return readers.read_jsonl_glob(spark, _once(spark, folder, "interest", write), schema=TREND_SCHEMA)
+
+def _trend_records(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.read_jsonl_glob(spark, trend_records_path(spark, folder), schema=TREND_SCHEMA)
 
 
 @query(
@@ -169,7 +172,7 @@ def _(spark, folder):
         rows.write.option("header", True).option("escape", '"').csv(path)
 
     schema = "station_id BIGINT, station_code STRING, lat DOUBLE, lng DOUBLE, address STRING, amenity_atm BOOLEAN"
-    read = readers.read_csv(spark, _once(spark, folder, "stations-csv", write), schema)
+    read = readers.read_csv(spark, once(spark, folder, "stations-csv", write), schema)
     return read.withColumnsRenamed({"lat": "latitude", "lng": "longitude"})
 
 
@@ -435,7 +438,7 @@ def _event_files(spark: SparkSession, folder: str) -> str:
     def write(path):
         table(spark, folder, "events").repartitionByRange(6, "ts").write.parquet(path)
 
-    return _once(spark, folder, "event-files", write)
+    return once(spark, folder, "event-files", write)
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -481,7 +484,7 @@ def _record_stream(spark: SparkSession, folder: str) -> DataFrame:
     def write(path):
         nested_records(spark, folder).drop("date").repartitionByRange(4, "ingested_at").write.json(path)
 
-    path = _once(spark, folder, "records", write)
+    path = once(spark, folder, "records", write)
     from pyspark.sql.types import StructType
 
     return readers.read_stream(spark, "json", {"path": path, "maxFilesPerTrigger": "2"}, StructType.fromDDL(RECORD_SCHEMA))

@@ -13,13 +13,24 @@ from gable.runtime import stage
 class Warehouse(Mapping[str, DataFrame]):
     """Tables of one data set by name, built lazily in dependency order.
 
-    Silver, dimensions and facts are written to the shared folder and read
-    back; the views stay virtual.
+    Silver, dimensions and facts go through ``store`` (default: written to the
+    shared folder and read back); the views stay virtual. Tables in ``given``
+    exist already and are used as they are.
     """
 
-    def __init__(self, spark: SparkSession, listings: DataFrame, stations: DataFrame, trends: DataFrame, *, exact: bool = True):
-        self.spark, self.exact = spark, exact
-        self._built: dict[str, DataFrame] = {}
+    def __init__(
+        self,
+        spark: SparkSession,
+        listings: DataFrame | None = None,
+        stations: DataFrame | None = None,
+        trends: DataFrame | None = None,
+        *,
+        exact: bool = True,
+        store: Callable[[DataFrame, str], DataFrame] = stage,
+        given: Mapping[str, DataFrame] | None = None,
+    ):
+        self.spark, self.exact, self._store = spark, exact, store
+        self._built: dict[str, DataFrame] = dict(given or {})
         self._recipes: dict[str, Callable[[], DataFrame]] = {
             "silver_stations": lambda: silver.clean_stations(stations, self["area_codes"], self["ward_codes"]),
             "silver_trends": lambda: silver.clean_trends(trends),
@@ -50,7 +61,7 @@ class Warehouse(Mapping[str, DataFrame]):
             if name in ("silver_listings", "area_codes", "ward_codes"):
                 self._build_silver()
             elif name in self._recipes:
-                self._built[name] = stage(self._recipes[name](), name)
+                self._built[name] = self._store(self._recipes[name](), name)
             elif name in views.VIEWS:
                 self._built[name] = views.VIEWS[name](self)
             elif name == "vw_ml_hotspot_dataset":
@@ -61,7 +72,7 @@ class Warehouse(Mapping[str, DataFrame]):
 
     def _build_silver(self) -> None:
         rows, areas, wards = silver.clean_listings(self._listings, exact=self.exact)
-        self._built.update(silver_listings=stage(rows, "silver"), area_codes=areas, ward_codes=wards)
+        self._built.update(silver_listings=self._store(rows, "silver_listings"), area_codes=areas, ward_codes=wards)
 
     def __iter__(self):
         yield from ("silver_listings", "area_codes", "ward_codes", *self._recipes, *views.VIEWS, "vw_ml_hotspot_dataset")

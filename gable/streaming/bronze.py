@@ -1,8 +1,8 @@
 """Streams of listing records into the bronze layer.
 
 The writer needs no state store: each micro-batch is reduced to one row per
-(date, id) and compared with what the touched date partitions already hold, so
-late and out-of-order rows are never dropped and a replayed batch adds nothing.
+(date, id) and compared with the ids already stored for its dates, so late and
+out-of-order rows are never dropped and a replayed batch adds nothing.
 :func:`dedup_stream` is the stateful alternative for rows that arrive in order.
 """
 
@@ -65,36 +65,54 @@ def drop_repeated(batch: DataFrame, stamp: str = "crawled_at") -> DataFrame:
     return known.unionByName(batch.filter(F.col("record_id").isNull()))
 
 
-def append_batch(batch: DataFrame, target: str, *, max_records: int = 10_000, late: str | None = None, horizon_days: int = 1) -> None:
-    """Write the rows of one micro-batch that ``target`` does not hold yet.
+#: Folder of the ids written so far, hidden from readers of the records.
+LEDGER = "_ids"
 
-    With ``late`` set, rows of dates more than ``horizon_days`` before the
-    newest stored date go to that folder instead.
+
+def append_batch(
+    batch: DataFrame,
+    target: str,
+    *,
+    max_records: int = 10_000,
+    late: str | None = None,
+    horizon_days: int = 1,
+    verify: bool = True,
+) -> None:
+    """Write the rows of one micro-batch that are not stored yet.
+
+    Stored ids are read from a columnar ledger below ``target``, for the dates
+    of the batch only. The ledger is written after the records, so a crash in
+    between leaves it short; with ``verify`` the records of those dates are
+    read as well. With ``late`` set, rows of dates more than ``horizon_days``
+    before the newest stored date go to that folder instead.
     """
     spark = batch.sparkSession
-    rows = stage(drop_repeated(batch), "micro-batch")
+    rows = stage(batch, "micro-batch")
     touched = [r[0] for r in rows.select(F.col("date").cast("string")).distinct().collect()]
-    fresh = rows
-    for folder in filter(None, (target, late)):
-        stored = _stored_ids(spark, folder, touched)
-        if stored is not None:
-            fresh = fresh.join(stored, ["date", "record_id"], "left_anti")
-    if late is None:
-        write_jsonl(fresh, target, max_records=max_records)
-        return
-    newest = _newest_date(spark, target)
+    fresh = drop_repeated(rows)
+    for stored in _stored_ids(spark, target, late if verify else None, touched, verify):
+        fresh = fresh.join(stored, ["date", "record_id"], "left_anti")
+    newest = _newest_date(spark, target) if late else None
     is_late = F.col("date") < F.date_sub(F.lit(newest).cast("date"), horizon_days) if newest else F.lit(False)
-    split = stage(fresh.withColumn("__late", is_late), "split")
-    write_jsonl(split.filter(~F.col("__late")).drop("__late"), target, max_records=max_records)
-    write_jsonl(split.filter("__late").drop("__late"), late, max_records=max_records)
-
-
-def _stored_ids(spark, folder: str, days: Sequence[str]) -> DataFrame | None:
-    """(date, record_id) stored for the given days; only those folders are read."""
-    if not has_files(spark, folder):
-        return None
-    stored = spark.read.schema("record_id string, date date").json(folder)
-    return stored.filter(F.col("date").cast("string").isin(*days) & F.col("record_id").isNotNull()).select("date", "record_id")
+    fresh = stage(fresh.withColumn("__late", is_late), "fresh")
+    write_jsonl(fresh.filter(~F.col("__late")).drop("__late"), target, max_records=max_records)
+    if newest:
+        write_jsonl(fresh.filter("__late").drop("__late"), late, max_records=max_records)
+    ids = fresh.filter(F.col("record_id").isNotNull()).select("date", "record_id")
+    ids.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(f"{target}/{LEDGER}")
+
+
+def _stored_ids(spark, target: str, late: str | None, days: Sequence[str], verify: bool) -> list[DataFrame]:
+    """(date, record_id) frames stored for the given days; only those folders are read."""
+    frames = []
+    ledger = f"{target}/{LEDGER}"
+    if has_files(spark, ledger):
+        frames.append(spark.read.schema("record_id string, date date").parquet(ledger))
+    for folder in filter(None, (target, late) if verify else ()):
+        if has_files(spark, folder):
+            frames.append(spark.read.schema("record_id string, date date").json(folder))
+    kept = F.col("date").cast("string").isin(*days) & F.col("record_id").isNotNull()
+    return [f.filter(kept).select("date", "record_id") for f in frames]
 
 
 def has_files(spark, folder: str) -> bool:
@@ -131,8 +149,14 @@ def bronze_stream(
         with_identity(records, zone), defaults, ingestion_type="stream_to_bronze", pipeline_name="records_to_bronze"
     )
 
+    verified = False
+
     def write(batch: DataFrame, _: int) -> None:
-        append_batch(batch, target, max_records=max_records, late=late, horizon_days=horizon_days)
+        nonlocal verified
+        append_batch(
+            batch, target, max_records=max_records, late=late, horizon_days=horizon_days, verify=not verified
+        )
+        verified = True
 
     return (
         ready.writeStream.foreachBatch(write)
