@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from gable.plans import silver
 from gable.plans.warehouse import Warehouse
+from gable.runtime import stage
 from gable.sources import readers, sinks
 
 # Keys and references of the gold tables; metadata only.
@@ -78,9 +79,10 @@ def listings_to_silver(
     if raw is None or raw.isEmpty():
         return 0
     flat = silver.flatten_records(readers.with_lineage(raw)).drop(readers.CORRUPT)
-    known = {t: catalog.read(t) if catalog.exists(t) else None for t in ("area_codes", "ward_codes")}
+    # Work on copies of the stored codes: a table cannot be replaced while it is read.
+    known = {t: stage(catalog.read(t), t) if catalog.exists(t) else None for t in ("area_codes", "ward_codes")}
     rows, areas, wards = silver.clean_listings(flat, **known, exact=exact)
-    # The staged code tables no longer read the stored ones, so replacing is safe.
+    # Codes first: a run that stops here leaves no row with an unknown code.
     catalog.replace(areas, "area_codes")
     catalog.replace(wards, "ward_codes")
     return catalog.append_new(rows, "listings", ["content_fp"])

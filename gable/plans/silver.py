@@ -144,8 +144,8 @@ def clean_listings(
     kept = stage(quality.drop_any_null(unique, ADDRESS_COLUMNS), "unique")
     flagged = classify(quality.impute_median(kept, "number_of_images", exact=exact))
 
-    area_codes = stage(_codes(area_codes, flagged, "area_name"), "area-codes")
-    ward_codes = stage(_codes(ward_codes, flagged, "ward_name"), "ward-codes")
+    area_codes = _codes(area_codes, flagged, "area_name")
+    ward_codes = _codes(ward_codes, flagged, "ward_name")
 
     priced = groups.remove_iqr_outliers(flagged, ["area_name"], "param_price_m2", exact=exact)
     sized = quality.drop_inconsistent(priced).withColumn("size", F.round("size", 2))

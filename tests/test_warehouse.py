@@ -122,3 +122,26 @@ def test_sql_twin(spark, name):
     import __spark_entry__ as entry
 
     assert compare(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]).startswith("ok")
+
+
+def test_silver_job_is_incremental_and_quiet_without_input(spark, tmp_path):
+    from gable.catalog.jobs import _records
+    from gable.plans import jobs
+    from gable.sources import sinks
+
+    records = _records(spark, SF)
+    schema = records.drop("date").schema
+    path = str(tmp_path / "bronze")
+    sinks.write_jsonl(records, path)
+    catalog = jobs.Catalog(spark, "gable_incremental", root=str(tmp_path / "silver"))
+    assert jobs.listings_to_silver(catalog, str(tmp_path / "absent"), schema) == 0
+    first = jobs.listings_to_silver(catalog, path, schema, date="2024-02-01")
+    codes = {r["label"]: r["code"] for r in catalog.read("area_codes").collect()}
+    assert first == catalog.read("listings").count() > 0
+    second = jobs.listings_to_silver(catalog, path, schema)
+    stored = catalog.read("listings")
+    assert stored.count() == first + second
+    assert stored.groupBy("content_fp").count().filter("count > 1").isEmpty()
+    grown = {r["label"]: r["code"] for r in catalog.read("area_codes").collect()}
+    assert all(grown[label] == code for label, code in codes.items()) and len(grown) >= len(codes)
+    assert jobs.listings_to_silver(catalog, path, schema) == 0
