@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from gable.catalog import reference_sql as ref
 from gable.catalog.registry import query
 from gable.functions import dates, scores
-from gable.operators import dedup, groups, joins, ordered, quality, series, shape
-from gable.plans import gold, silver, vocab
-from gable.plans.adapter import listings, stations, table, trends
+from gable.operators import dedup, groups, joins, ordered, quality, series
+from gable.plans import gold, silver
+from gable.plans.adapter import listings, table
 from gable.plans.warehouse import warehouse
 from gable.runtime import attach, stage
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gable.catalog import reference_sql as ref
 from gable.catalog.registry import query, register
 from gable.operators import joins
 from gable.plans import gold, hotspot_model
