@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from gable.llm.decontaminate import op1_decontaminate
+from gable.llm.pii import op3_pii
 from gable.llm.quality_rules import op8_quality_rules
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_pii, op8_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
