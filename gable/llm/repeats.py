@@ -13,8 +13,8 @@ only at what the pass before left undecided.
 * Last digit, for anchors with different covers only: each window itself.
 
 Tasks decide equal bundles among their own rows before anything is shuffled, so text that
-a third of all rows share leaves a task once. Anchors with very many different covers are
-salted and decided in two steps. A window is removed unless it is the first of its group
+a third of all rows share leaves a task once. Anchors that hold a large part of all
+different covers are salted and decided in two steps. A window is removed unless it is the first of its group
 by (doc_id, start); what is removed of a text is the union of its removed windows.
 
 Defined cases: a null or empty text has no bytes; texts shorter than ``LENGTH`` repeat
@@ -40,8 +40,8 @@ from gable.runtime import stage
 LENGTH, DIGIT = 100, 32
 #: Bytes of text worked on at once, bundles a task gathers before it passes them on.
 PIECE, GATHER = 1 << 21, 1_500_000
-#: An anchor with more different covers than this is salted.
-HOT, SALTS = 20_000, 64
+#: An anchor with more different covers than this, and than this part of all of them, is salted.
+HOT_LEAST, HOT_PART, SALTS = 1000, 64, 64
 #: Bytes whose windows are bundled at once.
 STRETCH = 1 << 21
 _PLACE = np.uint64((1 << 22) - 1)
@@ -228,10 +228,12 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     undecided = decided.where("open").select("anchor", "doc", "bundle")
     by_doc = undecided.groupBy("doc").agg(F.collect_list(F.struct("anchor", "bundle")).alias("open"))
     covers = rows.select("doc", "text").join(by_doc, "doc").mapInArrow(cut_out, "anchor long, doc long, bundle long, bytes binary")
-    many = undecided.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select("anchor", F.lit(True).alias("hot"))
+    total = undecided.count()
+    hot = max(HOT_LEAST, total // HOT_PART)
+    many = undecided.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(f"n > {hot}").select("anchor", F.lit(True).alias("hot"))
     marked = sized_join(covers, many, ["anchor"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     # groups of anchors that share a task; a salted anchor is in several of them
-    n_groups = 16 + undecided.count() // 20_000
+    n_groups = 16 + total // 20_000
     marked = marked.withColumn("g", F.expr(f"pmod(xxhash64(anchor, CASE WHEN hot THEN pmod(xxhash64(doc, bundle), {SALTS}) ELSE 0 END), {n_groups})"))
     windows = stage(marked.groupBy("g").applyInArrow(last_digit, WINDOWS), "windows")
     again = windows.where("open").withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("doc", "lo"))).where("r > 1")
