@@ -3,7 +3,8 @@
 Words and word pairs are hashed into a fixed number of buckets. Two multinomials
 over the buckets are counted over whole tables, one of the trusted target, one of
 the raw corpus; the weight of a bucket is the log ratio of its two smoothed
-probabilities. A document's score is the mean weight of its n-grams, and every
+probabilities. The target's is smoothed towards the raw one with a fixed weight, so that
+few target texts say little. A document's score is the mean weight of its n-grams, and every
 document is judged by comparing that mean with a fixed threshold.
 
 Everything is DataFrame functions. The only thing that reaches the driver is the
@@ -26,8 +27,8 @@ from gable.llm.common import BLANKS, read, settled, sized_join, words
 
 #: Hash buckets of the two multinomials.
 BUCKETS = 4096
-#: Added to every bucket count of both multinomials.
-SMOOTHING = 1.0
+#: Added to every bucket count of the raw multinomial; n-grams that the raw one adds to the target.
+SMOOTHING, PRIOR = 1.0, 32 * BUCKETS
 #: Least mean weight of a kept document.
 THRESHOLD = -0.03
 #: Base rule.
@@ -54,8 +55,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame) -> list[float]:
         raw[row.bucket], target[row.bucket] = row.raw, row.target
     if not sum(target):
         return [0.0] * BUCKETS
-    base = math.log(sum(raw) + SMOOTHING * BUCKETS) - math.log(sum(target) + SMOOTHING * BUCKETS)
-    return [math.log(t + SMOOTHING) - math.log(r + SMOOTHING) + base for r, t in zip(raw, target, strict=True)]
+    shares = [(r + SMOOTHING) / (sum(raw) + SMOOTHING * BUCKETS) for r in raw]
+    whole = sum(target) + PRIOR
+    return [math.log((t + PRIOR * p) / whole) - math.log(p) for p, t in zip(shares, target, strict=True)]
 
 
 def judge(docs: DataFrame, weights: list[float], out: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
