@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gable.llm.common import components, read, sized_join, texts
-from gable.llm.tokens import mix, pieces, word_hashes
+from gable.llm.tokens import give_back, mix, pieces, word_hashes
 from gable.runtime import stage
 
 #: Keys that a task gathers before it passes them on.
-GATHER = 3_000_000
+GATHER = 1_500_000
 #: Bounds of a piece of a cluster: bytes of its sets, and documents.
 PIECE_BYTES, PIECE_DOCS = 8_000_000, 2048
 #: Shingle columns of a matrix product.
@@ -153,6 +153,8 @@ def candidate_keys(rule: Rule):
     """``key, doc``: equal keys join documents; joins among a task's own rows are made here."""
 
     def passed(keys: np.ndarray, docs: np.ndarray):
+        if not len(keys):  # texts without words alone
+            return
         order = np.lexsort((docs, keys))
         keys, docs = keys[order], docs[order]
         first = np.concatenate(([True], keys[1:] != keys[:-1]))
@@ -263,6 +265,7 @@ def verify(rule: Rule):
             hit = np.flatnonzero(graph.any(axis=1))
             out.append((docs[rows][hit], docs[rows][label[hit]], graph.sum(axis=1)[hit]))
         a, b, c = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+        give_back()
         return pa.table({"a": pa.array(a), "b": pa.array(b), "links": pa.array(c)})
 
     return piece

@@ -34,8 +34,8 @@ from gable.llm.tokens import pieces
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Parts a worker remembers.
-REMEMBERED = 600_000
+#: Parts a worker remembers, and parts in one call of the library.
+REMEMBERED, CALL = 200_000, 4_000
 
 _PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -133,7 +133,7 @@ class Pieces:
         # cutting at spaces is exact only if no piece has a marker behind another character
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p[0]) for p in self.model["pieces"])
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.differing: set[str] = set()
 
     def marked(self, text: str) -> str:
@@ -141,19 +141,20 @@ class Pieces:
         return (MARK if self.model["prefix"] else "") + normal if normal else ""
 
     def learn(self, parts: set[str]) -> None:
-        new = sorted(parts)
-        for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
+        new, lead = sorted(parts), 1 if self.model["prefix"] else 0
+        for lo in range(0, len(new), CALL):
+            some = new[lo : lo + CALL]
             ours = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            lead = 1 if self.model["prefix"] else 0
             theirs = self.reference.encode([p.replace(MARK, " ")[lead:] for p in some], num_threads=1)
-            # the prefix alone cannot be asked of the reference, which gives nothing for an empty text
-            theirs = [b if len(p) > lead else a for p, a, b in zip(some, ours, theirs, strict=True)]
-            self.known.update(zip(some, theirs, strict=True))
-            self.differing.update(p for p, a, b in zip(some, ours, theirs, strict=True) if a != b)
-
-    def encode_batch(self, all_texts: list[str]) -> tuple[list[list[int]], list[int]]:
-        """Ids of each text, and how many of its parts took the reference's ids."""
+            for part, a, b in zip(some, ours, theirs, strict=True):
+                # the prefix alone cannot be asked of the reference, which gives nothing for an empty text
+                if a != b and len(part) > lead:
+                    self.differing.add(part)
+                    a = b
+                self.known[part] = np.asarray(a, dtype="<u4").tobytes()
+
+    def encode_flat(self, all_texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Ids of all texts end to end, how many each has, and how many of its parts took the reference's ids."""
         cut = [_PART.findall(self.marked(t)) if self.cuts else [self.marked(t)] if t else [] for t in all_texts]
         parts = set(chain.from_iterable(cut))
         if len(self.known) > REMEMBERED:
@@ -161,8 +162,14 @@ class Pieces:
         if new := parts - self.known.keys():
             self.learn(new)
         odd = parts & self.differing
-        ids = [list(chain.from_iterable(map(self.known.__getitem__, c))) for c in cut]
-        return ids, [sum(p in odd for p in c) if odd else 0 for c in cut]
+        ids = [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        return np.frombuffer(b"".join(ids), dtype="<u4"), counts, [sum(p in odd for p in c) if odd else 0 for c in cut]
+
+    def encode_batch(self, all_texts: list[str]) -> tuple[list[list[int]], list[int]]:
+        """Ids of each text as lists, and how many of its parts took the reference's ids."""
+        flat, counts, odd = self.encode_flat(all_texts)
+        return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] if len(counts) else [], odd
 
     def decode_batch(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -181,13 +188,14 @@ def loaded(path: str) -> Pieces:
 def digest(path: str):
     def rows(batches):
         model = loaded(path)
-        for batch in pieces(batches, size=1 << 21):
+        for batch in pieces(batches, size=1 << 20):
             said = [t or "" for t in batch.column("text").to_pylist()]
-            ids, odd = model.encode_batch(said)
-            back = model.decode_batch(ids)
+            flat, counts, odd = model.encode_flat(said)
+            ids = np.split(flat, np.cumsum(counts)[:-1])
+            back = list(chain.from_iterable(model.decode_batch([i.tolist() for i in ids[lo : lo + 256]]) for lo in range(0, len(ids), 256)))
             same = [a == model_text(model, b) for a, b in zip(back, said, strict=True)]
-            crcs = [zlib.crc32(np.asarray(i, dtype="<u4").tobytes()) for i in ids]
-            arrays = [batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()), pa.array(crcs, pa.int64()), pa.array(odd, pa.int64()), pa.array(same)]
+            crcs = [zlib.crc32(i.tobytes()) for i in ids]
+            arrays = [batch.column("doc_id"), pa.array(counts), pa.array(crcs, pa.int64()), pa.array(odd, pa.int64()), pa.array(same)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_crc32", "n_reference", "round_trip"])
 
     return rows
@@ -206,9 +214,11 @@ def with_ids(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
 
     def rows(batches):
         model = loaded(path)
-        for batch in pieces(batches, size=1 << 21):
-            ids, _ = model.encode_batch([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, column])
+        for batch in pieces(batches, size=1 << 20):
+            flat, counts, _ = model.encode_flat([t or "" for t in batch.column("text").to_pylist()])
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, column])
 
     return docs.select(*others).mapInArrow(rows, schema)
 

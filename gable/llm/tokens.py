@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 #: Bytes hashed at once; a block ends between words.
 BLOCK = 1 << 21
 
+_LIBC = ctypes.CDLL(None)
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -97,3 +99,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if hi > lo:
                 yield batch.slice(lo, hi - lo)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker process may idle through later stages that need it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)

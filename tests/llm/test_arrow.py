@@ -153,7 +153,7 @@ def test_records(spark, odd, small, none):
     # starts are the running total in the order of ids
     got.sort(key=lambda r: r.start)
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
-    assert [r.doc_id is not None and r.doc_id or -1 for r in got] == sorted(r.doc_id if r.doc_id is not None else -1 for r in got)
+    assert [-1 if r.doc_id is None else r.doc_id for r in got] == sorted(r.doc_id if r.doc_id is not None else -1 for r in got)
     assert records.read_records(records.write_records(none, word_tokenizer(), scratch_path(spark, "records"))).count() == 0
 
 
@@ -208,11 +208,11 @@ def test_pipeline(spark, small, tmp_path):
     rows += [(100, base), (101, base), (102, changed(base, 2, 1)), (103, changed(base, 60, 2))]
     rows += [(110, f"{prose(50, 90)} {bench[0]} {prose(51, 90)}"), (111, f"{prose(52, 90)} mail me@mail.org now {prose(53, 90)}")]
     rows += [(120 + i, " ".join(w + "###" for w in prose(60 + i, 120).split())) for i in range(6)]
-    rows += [(130, "too short"), (131, None), (None, prose(70, 100)), (132, prose(71, 100)), (132, prose(71, 100))]
+    rows += [(130, "too short"), (131, None), (None, prose(2005, 150)), (132, prose(71, 100)), (132, prose(71, 100))]
     docs = table(spark, rows)
     docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-    spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in [*range(60), 100, 103, 110, 111, 132]], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     got = corpus_pipeline.run(spark, folder).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(map(str, [*range(60), 100, 103, 111, 132, None]))
     by = {r.doc_id: r for r in got}
