@@ -36,7 +36,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
     spark = build_session(
         "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__sql__shuffle__partitions=str(2 * int(cpus)),
-        spark__driver__memory="12g",
+        spark__driver__memory="12g", spark__sql__files__maxPartitionBytes="2m",
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -303,11 +303,33 @@ def _(spark, folder):
     located = t["silver_listings"].filter((F.col("price") > 0) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     near = joins.nearest(
         located.select(*gold.LISTING_ID, "area_name", "ward_name", "latitude", "longitude"), t["dim_metro_station"],
-        ["area_name", "ward_name"], "station_id", distance="distance_to_metro_m", row_id=gold.LISTING_ID, chunk=4,
+        ["area_name", "ward_name"], "station_id", distance="distance_to_metro_m", chunk=4,
     )
     return near.select("ad_id", "list_id", "station_id", "distance_to_metro_m")
 
 
+# Two wards with half of all customers each as stations, a third without any; listings repeat their id.
+_DENSE_LISTINGS = """(SELECT o_custkey AS list_id, o_orderkey % 3 AS ward, (o_orderkey % 1000) / 10e0 AS latitude, (o_custkey % 500) / 10e0 AS longitude FROM orders)"""
+_DENSE_STATIONS = """(SELECT c_custkey AS station_id, c_custkey % 2 AS ward, (c_custkey * 37 % 1000) / 10e0 AS latitude, (c_custkey * 61 % 500) / 10e0 AS longitude FROM customer)"""
+
+
+@query(
+    "nearest_station_dense",
+    f"""SELECT list_id, ward, latitude, longitude, best.station_id AS station_id, best.distance_m AS distance_m FROM (
+      SELECT s.list_id, s.ward, s.latitude, s.longitude, s.n, min(CASE WHEN m.station_id IS NOT NULL THEN
+        {{'distance_m': {ref.DISTANCE}, 'station_id': m.station_id}} END) AS best
+      FROM (SELECT *, row_number() OVER () AS n FROM {_DENSE_LISTINGS}) s LEFT JOIN {_DENSE_STATIONS} m ON s.ward = m.ward GROUP BY ALL)""",
+)
+def _(spark, folder):
+    def placed(frame, ident, ward, north, east, name):
+        return frame.select(ident.alias(name), ward.alias("ward"), (north / F.lit(10.0)).alias("latitude"), (east / F.lit(10.0)).alias("longitude"))
+
+    order, customer = F.col("o_orderkey"), F.col("c_custkey")
+    left = placed(table(spark, folder, "orders"), F.col("o_custkey"), order % 3, order % 1000, F.col("o_custkey") % 500, "list_id")
+    points = placed(table(spark, folder, "customer"), customer, customer % 2, customer * 37 % 1000, customer * 61 % 500, "station_id")
+    return joins.nearest(left, points, ["ward"], "station_id").select("list_id", "ward", "latitude", "longitude", "station_id", "distance_m")
+
+
 @query(
     "fact_key_lookup",
     """SELECT l.list_id, l.ad_id, k.location_key FROM listings l LEFT JOIN (
@@ -326,10 +348,10 @@ def _(spark, folder):
     "SELECT l_orderkey, l_linenumber, l_partkey, o_custkey AS customer FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey",
 )
 def _(spark, folder):
-    # The same lookup with the broadcast ruled out, so the salted shuffle runs.
+    # The same lookup with the broadcast ruled out; orders of more than five lines are salted.
     line = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"))
-    return attach(line, orders, ["l_orderkey"], spread_by=["l_linenumber", "l_partkey"], broadcast_rows=0)
+    return attach(line, orders, ["l_orderkey"], spread_by=["l_linenumber", "l_partkey"], broadcast_rows=0, hot_rows=5)
 
 
 @query(

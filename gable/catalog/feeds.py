@@ -342,10 +342,10 @@ def _(spark, folder):
 DEFAULTS = {"source": "listings", "category": "market_listings", "entity": "market_listing"}
 
 
-@query("batch_dedup_ids", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS record_id FROM events WHERE user_id > 0")
+@query("batch_dedup_ids", "SELECT CAST(user_id AS VARCHAR) AS record_id, min(event_id) AS event_id FROM events WHERE user_id > 0 GROUP BY 1")
 def _(spark, folder):
     ids = table(spark, folder, "events").select(F.when(F.col("user_id") > 0, F.col("user_id").cast("string")).alias("record_id"), "event_id")
-    return dedup.drop_duplicate_ids(ids, "record_id", [F.col("event_id").asc()]).select("record_id")
+    return dedup.drop_duplicate_ids(ids, "record_id", [F.col("event_id").asc()]).select("record_id", "event_id")
 
 
 # --- sinks -----------------------------------------------------------------
@@ -460,6 +460,16 @@ def _(spark, folder):
     return _drain(event_stream(spark, folder).select("event_id", "event_type", "value"), spark, "source")
 
 
+@query("broker_decode", "SELECT event_id, event_type, CASE WHEN event_id % 10 <> 3 THEN value END AS value FROM events WHERE event_id % 10 <> 7 UNION ALL SELECT NULL, NULL, NULL FROM events WHERE event_id % 10 = 7")
+def _(spark, folder):
+    # Messages as a broker gives them: some without a field, some that are no record.
+    events = table(spark, folder, "events")
+    fields = F.struct("event_id", "event_type", F.when(F.col("event_id") % 10 != 3, F.col("value")).alias("value"))
+    value = F.when(F.col("event_id") % 10 == 7, "not a record").otherwise(F.to_json(fields))
+    messages = events.select(F.col("user_id").cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"))
+    return readers.decode_records(messages, "event_id BIGINT, event_type STRING, value DOUBLE")
+
+
 @query(
     "stream_dedup",
     """SELECT DISTINCT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) || event_type AS record_id, CAST(NULL AS BIGINT) AS event_id FROM events WHERE user_id > 5
@@ -531,3 +541,17 @@ def _(spark, folder):
 def _(spark, folder):
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return bronze.overview(events, "ts", "user_id", "value")
+
+
+@query(
+    "overview_stream",
+    "SELECT CAST(ts AS DATE) AS snapshot_date, CAST(count(*) AS BIGINT) AS row_count, avg(value) AS value_avg FROM events GROUP BY 1",
+    rounded=["value_avg"],
+)
+def _(spark, folder):
+    # The running overview, brought up to date with every file; sellers are approximate there and left out.
+    running = bronze.overview(event_stream(spark, folder), "ts", "user_id", "value", approx=True)
+    out, checkpoint = scratch_path(spark, "overview"), scratch_path(spark, "overview-checkpoint")
+    writer = running.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    _finish(writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start())
+    return spark.read.schema(running.schema).parquet(out).drop("unique_seller_count")

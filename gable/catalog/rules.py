@@ -268,23 +268,30 @@ def _(spark, folder):
     )
 
 
+_MONTH_FLAGS = """(SELECT l_suppkey, CAST(year(CAST(l_shipdate AS DATE)) * 100 + month(CAST(l_shipdate AS DATE)) AS INTEGER) AS month_key,
+  CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS apt_count, CAST(sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS house_count,
+  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS land_count FROM lineitem GROUP BY 1, 2)"""
+
+
 @query(
     "fastest_growing",
-    f"""SELECT l_suppkey, apt_change, house_change, land_change, CASE WHEN apt_change >= house_change AND apt_change >= land_change THEN 'Can ho / Chung cu'
+    f"""SELECT l_suppkey, month_key, apt_change, house_change, land_change, CASE WHEN apt_change >= house_change AND apt_change >= land_change THEN 'Can ho / Chung cu'
     WHEN house_change >= apt_change AND house_change >= land_change THEN 'Nha o' WHEN land_change >= apt_change AND land_change >= house_change THEN 'Dat'
     ELSE 'Khong xac dinh' END AS fastest_growing_property_type, CASE WHEN apt_change IS NULL THEN 0 ELSE greatest(apt_change, house_change, land_change) END AS best_change
-    FROM (SELECT l_suppkey, apt_count - lag(apt_count) OVER w AS apt_change, house_count - lag(house_count) OVER w AS house_change,
-      land_count - lag(land_count) OVER w AS land_change FROM {_FLAG_COUNTS} WINDOW w AS (PARTITION BY l_suppkey % 7 ORDER BY l_suppkey))""",
+    FROM (SELECT l_suppkey, month_key, apt_count - lag(apt_count) OVER w AS apt_change, house_count - lag(house_count) OVER w AS house_change,
+      land_count - lag(land_count) OVER w AS land_change FROM {_MONTH_FLAGS} WINDOW w AS (PARTITION BY l_suppkey ORDER BY month_key))""",
 )
 def _(spark, folder):
     from gable.operators.series import lag_growth
 
-    counts = _flag_counts(spark, folder).withColumn("grp", F.col("l_suppkey") % 7)
+    day = F.col("l_shipdate").cast("date")
+    flags = {n: F.col("l_returnflag") == v for n, v in {"apt_count": "A", "house_count": "N", "land_count": "R"}.items()}
+    months = table(spark, folder, "lineitem").groupBy("l_suppkey", dates.month_number(F.year(day), F.month(day)).alias("month_key"))
     stems = {"apt_count": "apt", "house_count": "house", "land_count": "land"}
-    moved = lag_growth(counts, ["grp"], "l_suppkey", stems, growth_for=())
+    moved = lag_growth(months.agg(*groups.conditional_counts(flags)), ["l_suppkey"], "month_key", stems, growth_for=())
     changes = dict(zip((vocab.TYPE_APARTMENT, vocab.TYPE_HOUSE, vocab.TYPE_LAND), [F.col(f"{s}_change") for s in stems.values()]))
     return moved.select(
-        "l_suppkey", "apt_change", "house_change", "land_change",
+        "l_suppkey", "month_key", "apt_change", "house_change", "land_change",
         scores.dominant(changes, vocab.TYPE_UNKNOWN).alias("fastest_growing_property_type"),
         scores.largest(changes, F.lit(0).cast("long")).alias("best_change"),
     )
@@ -629,12 +636,13 @@ def _(spark, folder):
 @query(
     "pivot_series",
     """SELECT CAST(ts AS DATE) AS day, CAST(sum(CASE WHEN event_type = 'view' THEN 1 END) AS BIGINT) AS "view",
-    CAST(sum(CASE WHEN event_type = 'click' THEN 1 END) AS BIGINT) AS click, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS purchase
+    CAST(sum(CASE WHEN event_type = 'click' THEN 1 END) AS BIGINT) AS click, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS purchase,
+    CAST(sum(CASE WHEN event_type = 'signup' THEN 1 END) AS BIGINT) AS signup, CAST(sum(CASE WHEN event_type = 'error' THEN 1 END) AS BIGINT) AS error
     FROM events GROUP BY 1""",
 )
 def _(spark, folder):
     events = table(spark, folder, "events").select(F.col("ts").cast("date").alias("day"), "event_type")
-    return shape.pivot_measures(events, ["day"], "event_type", ["view", "click", "purchase"], F.count(F.lit(1)))
+    return shape.pivot_measures(events, ["day"], "event_type", ["view", "click", "purchase", "signup", "error"], F.count(F.lit(1)))
 
 
 @query(

@@ -122,16 +122,8 @@ for _key, _question in QUESTIONS.items():
 )
 def _(spark, folder):
     t = warehouse(spark, folder)
-    fact = t["fact_properties"]
     dims = {"location_key": "dim_location", "property_key": "dim_property", "seller_key": "dim_seller", "time_key": "dim_time"}
-    reports = []
-    for key, dim in dims.items():
-        broken = joins.fk_violations(fact, t[dim], key).agg(F.coalesce(F.sum("row_count"), F.lit(0))).scalar()
-        reports.append(fact.agg(F.count("*").alias("fact_rows")).select(F.lit(key).alias("key_name"), broken.alias("violations"), "fact_rows"))
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+    return joins.fk_report(t["fact_properties"], {key: t[name] for key, name in dims.items()})
 
 
 @query(
@@ -189,7 +181,15 @@ def _(spark, folder):
     return hotspot_model.macro_f1(hotspot_model.confusion_matrix(_naive(spark, folder), "target_hotspot_level", "predicted"))
 
 
-@query("hotspot_model_fit", None)
+@query(
+    "hotspot_model_fit",
+    f"""SELECT CASE WHEN snapshot_date <= DATE '{TRAIN_UNTIL}' THEN 'train' WHEN snapshot_date <= DATE '{VALID_UNTIL}' THEN 'valid' ELSE 'test' END AS split,
+    CAST(count(*) AS BIGINT) AS row_count, true AS metrics_in_range, {len(hotspot_model.NUMERIC + hotspot_model.CATEGORICAL)} AS feature_count, true AS importances_sum_to_one
+    FROM vw_ml_hotspot_dataset WHERE target_hotspot_level IS NOT NULL GROUP BY 1""",
+)
 def _(spark, folder):
     dataset = warehouse(spark, folder)["vw_ml_hotspot_dataset"]
-    return hotspot_model.train_and_score(dataset, TRAIN_UNTIL, VALID_UNTIL, trees=20, depth=6)
+    scored, weights = hotspot_model.train_and_score(dataset, TRAIN_UNTIL, VALID_UNTIL, trees=20, depth=6)
+    whole = weights.agg(F.count_distinct("feature").cast("int").alias("feature_count"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("importances_sum_to_one"))
+    in_range = F.col("accuracy").between(0, 1) & F.col("macro_f1").between(0, 1)
+    return scored.select("split", "row_count", in_range.alias("metrics_in_range")).join(F.broadcast(whole))

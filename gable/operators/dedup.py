@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gable.runtime import attach
+from gable.runtime import zip_groups
 
 
 def latest_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], *, k: int = 1) -> DataFrame:
@@ -45,4 +45,4 @@ def duplicate_groups(df: DataFrame, keys: Sequence[Column | str], ids: Sequence[
 def duplicate_members(df: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
     """Every row of the duplicate groups in long form, with the size of its group."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
-    return attach(df.select(*keys, *ids), sizes, keys, null_safe=True).filter(F.col("row_count").isNotNull())
+    return zip_groups(df.select(*keys, *ids), sizes, keys).filter(F.col("row_count").isNotNull())

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gable.functions import scores
-from gable.runtime import BROADCAST_ROWS, attach, stage
+from gable.runtime import BROADCAST_ROWS, attach, row_count, stage
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, natural: Sequence[str], key: str, *, spread_by: Sequence[str] | None = None, staged: bool = False) -> DataFrame:
@@ -37,26 +37,27 @@ def nearest(
     lat: str = "latitude",
     lon: str = "longitude",
     distance: str = "distance_m",
-    row_id: Sequence[str] = (),
     chunk: int = 512,
 ) -> DataFrame:
     """Nearest point of the same bucket for each left row; none gives nulls.
 
-    The points of a bucket are packed into arrays and the smallest distance
-    is taken inside the row, so no row-point pairs are produced. A bucket with
-    more than ``chunk`` points gets several arrays; its rows meet each array
-    once and are reduced again by ``row_id``. Ties go to the lower point id.
+    The points of a bucket are packed into arrays of about ``chunk`` points and
+    the smallest distance is taken inside the row. Rows of a bucket with one
+    array meet it directly. Only rows of a bucket with several are numbered,
+    meet each of its arrays with their coordinates alone, and get the best of
+    them back by that number; nothing depends on ids of the left side. Ties go
+    to the lower point id.
     """
     bucket = list(bucket)
-    numbered = stage(points.select(*bucket, point_id, lat, lon, *carry), "points")
-    per_bucket = numbered.groupBy(*bucket).count()
-    largest, points_in_all = per_bucket.agg(F.max("count"), F.sum("count")).first()
-    pieces = -(-(largest or 0) // chunk)
-    # Arrays make wide rows, so the broadcast bound is on points, not on buckets.
-    limit = BROADCAST_ROWS if (points_in_all or 0) <= BROADCAST_ROWS else 0
-    slot = F.pmod(F.xxhash64(point_id), F.lit(max(pieces, 1))).alias("__slot")
+    named = points.select(*bucket, point_id, lat, lon, *carry).na.drop(subset=bucket)
+    numbered = stage(named, "points")
+    sizes = numbered.groupBy(*bucket).agg(F.ceil(F.count("*") / chunk).cast("int").alias("__slots"))
+    slot = F.pmod(F.xxhash64(F.col(point_id)), F.col("__slots")).cast("int").alias("__slot")
     fields = F.struct(F.col(point_id), F.col(lat), F.col(lon), *carry)
-    packed = numbered.groupBy(*bucket, slot).agg(F.collect_list(fields).alias("__points"))
+    packed = numbered.join(sizes, bucket).groupBy(*bucket, "__slots", slot).agg(F.collect_list(fields).alias("__points"))
+    packed = stage(packed, "packed")
+    # Arrays make wide rows, so the broadcast bound is on points, not on arrays.
+    limit = BROADCAST_ROWS if row_count(numbered) <= BROADCAST_ROWS else 0
 
     candidate = F.transform(
         "__points",
@@ -67,17 +68,24 @@ def nearest(
         ),
     )
     usable = F.filter(candidate, lambda c: c[distance].isNotNull())
-    if pieces <= 1:
-        joined = attach(left, packed.drop("__slot"), bucket, broadcast_rows=limit)
-        best = joined.withColumn("__best", F.array_min(usable)).drop("__points")
+
+    def best_of(rows: DataFrame, arrays: DataFrame, keys: list[str]) -> DataFrame:
+        joined = attach(rows, stage(arrays, "arrays"), keys, broadcast_rows=limit, staged=True)
+        return joined.withColumn("__best", F.array_min(usable)).drop("__points")
+
+    crowded = stage(packed.where("__slots > 1").select(*bucket, "__slots").distinct(), "crowded")
+    single = packed.where("__slots = 1").drop("__slot", "__slots")
+    if row_count(crowded) == 0:
+        best = best_of(left, single, bucket)
     else:
-        slots = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint")))
-        joined = attach(left.withColumn("__slot", slots), packed, [*bucket, "__slot"], broadcast_rows=limit)
-        each = joined.withColumn("__best", F.array_min(usable)).drop("__points", "__slot")
-        others = [c for c in left.columns if c not in row_id]
-        best = each.groupBy(*row_id).agg(
-            *[F.any_value(c).alias(c) for c in others], F.min("__best").alias("__best")
-        ).select(*left.columns, "__best")
+        few = best_of(left.join(crowded, bucket, "left_anti").select(*left.columns), single, bucket)
+        held = left.join(crowded, bucket).withColumn("__row", F.monotonically_increasing_id())
+        held = stage(held, "held")
+        slots = F.explode(F.sequence(F.lit(0), F.col("__slots") - 1)).alias("__slot")
+        each = held.select("__row", *bucket, lat, lon, slots)
+        met = best_of(each, packed.where("__slots > 1").drop("__slots"), [*bucket, "__slot"])
+        met = met.groupBy("__row").agg(F.min("__best").alias("__best"))
+        best = few.unionByName(held.join(met, "__row", "left").select(*left.columns, "__best"))
     return best.withColumns({c: F.col("__best")[c] for c in [distance, point_id, *carry]}).drop("__best")
 
 
@@ -97,6 +105,22 @@ def fk_violations(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return used.join(dim.select(key), key, "left_anti")
 
 
+def fk_report(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``key_name, violations, fact_rows``: fact rows of each key whose value no dimension row has.
+
+    The fact is read once and reduced to the count of each key value; null keys are no violation.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("value")) for k in dims]))
+    used = fact.select(pairs.alias("p")).groupBy("p.key_name", "p.value").agg(F.count("*").alias("n"))
+    known = None
+    for key, dim in dims.items():
+        part = dim.select(F.lit(key).alias("key_name"), F.col(key).cast("string").alias("value"), F.lit(True).alias("known")).distinct()
+        known = part if known is None else known.unionByName(part)
+    broken = F.when(F.col("known").isNull() & F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    joined = used.join(known, ["key_name", "value"], "left")
+    return joined.groupBy("key_name").agg(F.sum(broken).alias("violations"), F.sum("n").alias("fact_rows"))
+
+
 def pk_violations(dim: DataFrame, key: str) -> DataFrame:
     """Primary keys that are null or stored more than once."""
     counted = dim.groupBy(key).agg(F.count("*").alias("row_count"))

@@ -12,22 +12,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gable.runtime import BROADCAST_ROWS, attach, row_count, stage
+from gable.runtime import attach, stage
 
 # monotonically_increasing_id keeps the partition in the high bits and the
 # position in the low 33 bits.
 _POSITION_BITS = 33
 
 
-def number_rows(
-    df: DataFrame, order: Sequence[str], name: str = "row_number", start: int = 1, *, window_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_number", start: int = 1) -> DataFrame:
     """Dense numbering along ``order`` (ascending, nulls first).
 
     One range shuffle; then each range numbers its own rows and adds the rows
     of the ranges before it. The only table that meets in one place has one
-    row per range partition. A result of at most ``window_rows`` rows (counted)
-    takes the plain window instead.
+    row per range partition.
     """
     ranged = stage(
         df.repartitionByRange(*[F.col(c) for c in order])
@@ -35,9 +32,6 @@ def number_rows(
         .withColumn("__at", F.monotonically_increasing_id()),
         "numbering",
     )
-    if row_count(ranged) <= window_rows:
-        numbered = ranged.withColumn(name, F.row_number().over(Window.orderBy("__at")).cast("long") + (start - 1))
-        return numbered.drop("__at")
     part = F.shiftright("__at", _POSITION_BITS)
     sizes = ranged.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,27 +57,18 @@ def running_sum(
     measure: str,
     name: str,
     total: str | None = None,
-    *,
-    window_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Running sum of ``measure`` inside each group along ``order``, own row included.
 
     ``df`` should be pre-aggregated (one row per group and order value). A
     group may be spread over any number of range partitions. ``total`` also
-    adds the sum of the whole group. Up to ``window_rows`` rows in all
-    (counted) a plain window does the same.
+    adds the sum of the whole group.
     """
     by, order = list(by), list(order)
     ranged = stage(
         df.repartitionByRange(*[F.col(c) for c in by + order]).withColumn("__part", F.spark_partition_id()),
         "running",
     )
-    if row_count(ranged) <= window_rows:
-        whole = Window.partitionBy(*by)
-        sums = {name: F.sum(measure).over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))}
-        if total:
-            sums[total] = F.sum(measure).over(whole)
-        return ranged.withColumns(sums).drop("__part")
     pieces = ranged.groupBy("__part", *by).agg(F.sum(measure).alias("__piece"))
     group = Window.partitionBy(*by)
     earlier = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gable.functions import scores
-from gable.runtime import attach
+from gable.runtime import zip_groups
 
 
 def lag_growth(
@@ -51,7 +51,7 @@ def previous_period(
     earlier = df.select(
         *keys, F.col(period).alias(previous_period_key), *[F.col(c).alias(n) for c, n in measures.items()]
     )
-    return attach(df, earlier, [*keys, previous_period_key])
+    return zip_groups(df, earlier, [*keys, previous_period_key])
 
 
 def rolling(

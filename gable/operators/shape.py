@@ -149,18 +149,22 @@ def pivot_measures(df: DataFrame, ids: Sequence[str], column: str, values: Seque
 
 
 def one_hot(df: DataFrame, column: str, rule: Callable[[str], str], prefix: str = "cat_", max_labels: int = 500, labels_from: DataFrame | None = None) -> DataFrame:
-    """One 0/1 column per distinct label, in label order.
+    """One 0/1 column per distinct label, in label order; labels that ``rule`` names alike share one.
 
-    Column names come from the data, so the labels are read first; more than
-    ``max_labels`` is an error, never a silent cut. ``labels_from`` may name a
+    Column names come from the data, so the labels are read first. Beyond
+    ``max_labels``, more columns than a table should have, the flags go into
+    one map column ``<prefix>flags`` from label to 1. ``labels_from`` may name a
     cheaper frame that holds all labels of ``df``.
     """
     source = df if labels_from is None else labels_from
     found = source.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_labels + 1).collect()
     if len(found) > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} labels; encode it with label codes instead")
-    labels = sorted(row[0] for row in found)
-    return df.withColumns({prefix + rule(v): F.when(F.col(column) == v, 1).otherwise(0).cast("int") for v in labels})
+        flags = F.when(F.col(column).isNotNull(), F.create_map(F.col(column), F.lit(1)))
+        return df.withColumn(f"{prefix}flags", flags)
+    groups: dict[str, list[str]] = {}
+    for label in sorted(row[0] for row in found):
+        groups.setdefault(prefix + rule(label), []).append(label)
+    return df.withColumns({name: F.when(F.col(column).isin(labels), 1).otherwise(0).cast("int") for name, labels in groups.items()})
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

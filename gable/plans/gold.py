@@ -233,7 +233,7 @@ def fact_metro_analysis(silver: DataFrame, locations: DataFrame, properties: Dat
     )
     near = joins.nearest(
         located, stations, ["area_name", "ward_name"], "station_id", ["station_key"],
-        distance="distance_to_metro_m", row_id=LISTING_ID,
+        distance="distance_to_metro_m",
     )
     near = near.withColumns(
         {

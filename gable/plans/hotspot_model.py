@@ -178,25 +178,44 @@ def macro_f1(confusion: DataFrame) -> DataFrame:
     )
 
 
-def fit(train: DataFrame, *, trees: int = 40, depth: int = 8, seed: int = 7):
+#: Names kept of each place or class; all others share one. Bounds the bins of the trees.
+NAMES_KEPT = 128
+
+
+def frequent_levels(train: DataFrame, column: str, levels: int = NAMES_KEPT) -> list[str]:
+    """The most frequent values of a column, at most ``levels``, ties by name."""
+    counted = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return [r[0] for r in counted.orderBy(F.col("n").desc(), column).limit(levels).collect()]
+
+
+def fit(train: DataFrame, *, trees: int = 40, depth: int = 8, seed: int = 7, levels: int = NAMES_KEPT):
     """Random forest over the declared features; Spark trains it in parallel.
 
-    Split bins follow the largest category, so no category is merged away.
+    A name that is not among the ``levels`` most frequent of its column is one
+    of the others, so neither the driver nor a tree node grows with the number
+    of names.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    cases = []
+    for c in CATEGORICAL:
+        names = ", ".join(text(v) for v in frequent_levels(train, c, levels)) or "NULL"
+        cases.append(f"CASE WHEN {c} IN ({names}) THEN {c} ELSE 'other' END AS {c}__level")
+    named = [f"{c}__level" for c in CATEGORICAL]
     indexed = [f"{c}__index" for c in CATEGORICAL]
     filled = [f"{c}__filled" for c in NUMERIC]
-    indexer = StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep").fit(train)
-    max_bins = max(32, *[len(labels) + 2 for labels in indexer.labelsArray])
     stages = [
-        indexer,
+        SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"),
         StringIndexer(inputCol="target_hotspot_level", outputCol="label", handleInvalid="skip"),
+        StringIndexer(inputCols=named, outputCols=indexed, handleInvalid="keep"),
         Imputer(inputCols=NUMERIC, outputCols=filled, strategy="median"),
         VectorAssembler(inputCols=filled + indexed, outputCol="features", handleInvalid="keep"),
-        RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=max_bins, seed=seed),
+        RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=levels + 3, seed=seed),
     ]
     doubles = train.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
     return Pipeline(stages=stages).fit(doubles)
@@ -218,17 +237,25 @@ def importances(model) -> list[tuple[str, float]]:
     return sorted(zip(NUMERIC + CATEGORICAL, map(float, weights)), key=lambda pair: -pair[1])
 
 
-def train_and_score(dataset: DataFrame, train_until: str, valid_until: str, **options: int) -> DataFrame:
-    """Fit on the first period and report accuracy and macro F1 per later period."""
+def train_and_score(dataset: DataFrame, train_until: str, valid_until: str, **options: int) -> tuple[DataFrame, DataFrame]:
+    """Fit on the first period; scores of each period and the weight of each feature.
+
+    Scores are ``split, row_count, accuracy, macro_f1, naive_accuracy`` (of always
+    guessing the most frequent level of the split), weights ``feature, importance``.
+    """
     rows = stage(time_split(training_rows(dataset), train_until, valid_until), "hotspot-rows")
     model = fit(rows.filter(F.col("split") == "train"), **options)
     scored = stage(
         predict(model, rows).select("split", "target_hotspot_level", "predicted_level"), "hotspot-scored"
     )
+    levels = scored.groupBy("split", "target_hotspot_level").agg(F.count("*").alias("n"))
+    sizes = levels.groupBy("split").agg(F.sum("n").alias("row_count"), (F.max("n") / F.sum("n")).alias("naive_accuracy"))
     reports = [
         macro_f1(confusion_matrix(scored.filter(F.col("split") == s), "target_hotspot_level", "predicted_level")).select(
             F.lit(s).alias("split"), "accuracy", "macro_f1"
         )
         for s in ("train", "valid", "test")
     ]
-    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+    scores_ = reports[0].unionByName(reports[1]).unionByName(reports[2]).join(sizes, "split")
+    weights = dataset.sparkSession.createDataFrame(importances(model), "feature string, importance double")
+    return scores_, weights

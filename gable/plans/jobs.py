@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from gable.operators import quality
 from gable.plans import silver
 from gable.plans.warehouse import Warehouse
-from gable.runtime import stage
+from gable.runtime import stage, temporary
 from gable.sources import readers, sinks
 
 # Keys and references of the gold tables; metadata only.
@@ -68,24 +69,57 @@ class Catalog:
         return sinks.append_new(df, self.name(table), keys, fmt=self.fmt, path=self.path(table))
 
 
+class Report:
+    """Rows after each step of a job, counted while its plans run; no extra scan."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, tuple[Observation, list[str]]] = {}
+
+    def watch(self, rows: DataFrame, step: str, conditions: Mapping[str, Column] | None = None) -> DataFrame:
+        watched, seen = quality.observe_stage(rows, f"{step}-{len(self._seen)}", conditions)
+        self._seen[step] = (seen, list(conditions or {}))
+        return watched
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``step, rows_in, rows_out, removed, flags``: one row for each step, in order; ask after the job."""
+        out, before = [], None
+        for step, (seen, flags) in self._seen.items():
+            found = seen.get
+            rows = found["rows"]
+            out.append((step, rows if before is None else before, rows, (before or rows) - rows, {f: found[f] for f in flags}))
+            before = rows
+        return spark.createDataFrame(out, "step string, rows_in long, rows_out long, removed long, flags map<string, bigint>")
+
+
 def listings_to_silver(
-    catalog: Catalog, path: str, schema: StructType | str | None = None, *, date: str | None = None, exact: bool = True
+    catalog: Catalog,
+    path: str,
+    schema: StructType | str | None = None,
+    *,
+    date: str | None = None,
+    exact: bool = False,
+    report: Report | None = None,
 ) -> int:
     """Clean the listing records below ``path`` (all dates or one) and add the new ones.
 
-    Returns the number of rows added; no input is not an error.
+    Returns the number of rows added; no input is not an error. Medians and
+    outlier bounds come from mergeable sketches unless ``exact``. ``report``
+    gets the rows after each step and the lines that did not parse.
     """
     raw = readers.read_jsonl_glob(catalog.spark, path, date, schema)
     if raw is None or raw.isEmpty():
         return 0
+    report = report or Report()
+    raw = report.watch(raw, "read", {"unparsed": F.col(readers.CORRUPT).isNotNull()} if readers.CORRUPT in raw.columns else None)
     flat = silver.flatten_records(readers.with_lineage(raw)).drop(readers.CORRUPT)
-    # Work on copies of the stored codes: a table cannot be replaced while it is read.
-    known = {t: stage(catalog.read(t), t) if catalog.exists(t) else None for t in ("area_codes", "ward_codes")}
-    rows, areas, wards = silver.clean_listings(flat, **known, exact=exact)
-    # Codes first: a run that stops here leaves no row with an unknown code.
-    catalog.replace(areas, "area_codes")
-    catalog.replace(wards, "ward_codes")
-    return catalog.append_new(rows, "listings", ["content_fp"])
+    with temporary(catalog.spark):
+        # Work on copies of the stored codes: a table cannot be replaced while it is read.
+        known = {t: stage(catalog.read(t), t) if catalog.exists(t) else None for t in ("area_codes", "ward_codes")}
+        rows, areas, wards = silver.clean_listings(flat, **known, exact=exact, watch=report.watch)
+        # Codes first: a run that stops here leaves no row with an unknown code.
+        catalog.replace(areas, "area_codes")
+        catalog.replace(wards, "ward_codes")
+        return catalog.append_new(rows, "listings", ["content_fp"])
 
 
 def stations_to_silver(catalog: Catalog, path: str, schema: StructType | str) -> DataFrame:
@@ -104,10 +138,14 @@ def trends_to_silver(catalog: Catalog, path: str, schema: StructType | str, *, d
     return catalog.append_new(clean, "trends_daily", ["date", "keyword_group"])
 
 
-def silver_to_gold(source: Catalog, target: Catalog, *, exact: bool = True) -> Warehouse:
-    """Build every gold table from the silver tables, dimensions first."""
+def silver_to_gold(source: Catalog, target: Catalog, *, exact: bool = False) -> Warehouse:
+    """Build every gold table from the silver tables, dimensions first.
+
+    Tables of stations or search interest are left out where their silver table
+    does not exist; ``register`` then leaves out the views on them as well.
+    """
     given = {"silver_listings": source.read("listings")}
-    optional = {"silver_stations": "metro_stations", "silver_trends": "trends_daily"}
+    optional = {"silver_stations": "metro_stations", "silver_trends": "trends_daily", "area_codes": "area_codes", "ward_codes": "ward_codes"}
     given |= {name: source.read(t) for name, t in optional.items() if source.exists(t)}
     gold = Warehouse(
         source.spark, exact=exact, given=given, store=lambda df, name: target.replace(df, name, PROPERTIES.get(name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gable.functions import dates, scores, text
@@ -127,30 +129,57 @@ def classify(df: DataFrame) -> DataFrame:
     )
 
 
+#: Columns the cleaning rules read, with the type an absent one gets.
+OPTIONAL_COLUMNS = {
+    "category_name": "string", "area_name": "string", "ward_name": "string", "param_furnishing_sell": "string", "param_pty_characteristics": "string",
+    "param_property_legal_document": "string", "param_price_m2": "string", "company_ad": "int", "rooms": "double", "width": "double", "length": "double",
+    "size": "double", "price": "double", "number_of_images": "double",
+}
+PLACE_COLUMNS = ["latitude", "longitude", "price", "size"]
+
+
+def narrowed(flat: DataFrame) -> DataFrame:
+    """The columns that cleaning uses or keeps; nested originals and unused fields stay behind before any shuffle."""
+    wanted = dict.fromkeys([*SILVER_COLUMNS, *FINGERPRINT_COLUMNS, *ADDRESS_COLUMNS, *OPTIONAL_COLUMNS, "list_time", "_ingest_ts"])
+    return flat.select(*[c for c in wanted if c in flat.columns])
+
+
 def clean_listings(
     flat: DataFrame,
     *,
     area_codes: DataFrame | None = None,
     ward_codes: DataFrame | None = None,
     exact: bool = True,
+    watch: Callable[[DataFrame, str], DataFrame] = lambda rows, _: rows,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Flat listings to silver rows plus the (label, code) tables used.
 
     Given code tables are kept and extended, so codes stay stable over runs.
     Deduplicated rows are written once because the median, the codes and the
-    outlier bounds each read them.
+    outlier bounds each read them. A rule whose column is absent does not
+    apply; flags then come out as for a null. Rows without a ``list_id`` count
+    as one listing, as defined, if the column is there at all. ``watch`` sees
+    the rows after each step by name.
     """
-    unique = dedup_by_content(with_fingerprint(dedup_by_id(flat)))
-    kept = stage(quality.drop_any_null(unique, ADDRESS_COLUMNS), "unique")
+    rows = narrowed(flat)
+    given = set(rows.columns)
+    if "list_id" in given:
+        rows = dedup_by_id(rows)
+    rows = with_fingerprint(watch(rows, "one_per_id"))
+    unique = watch(dedup_by_content(rows) if given & set(FINGERPRINT_COLUMNS) else rows, "one_per_content")
+    addressed = watch(quality.drop_any_null(unique, ADDRESS_COLUMNS), "with_address")
+    kept = stage(shape.ensure_columns(addressed, OPTIONAL_COLUMNS), "unique")
     flagged = classify(quality.impute_median(kept, "number_of_images", exact=exact))
 
     area_codes = _codes(area_codes, flagged, "area_name")
     ward_codes = _codes(ward_codes, flagged, "ward_name")
 
     priced = groups.remove_iqr_outliers(flagged, ["area_name"], "param_price_m2", exact=exact)
-    sized = quality.drop_inconsistent(priced).withColumn("size", F.round("size", 2))
-    placed = dedup_by_place(sized)
-    coded = shape.one_hot(placed, "category_name", text.slug_label, labels_from=kept)
+    consistent = watch(quality.drop_inconsistent(watch(priced, "without_outliers")), "consistent_size")
+    sized = consistent.withColumn("size", F.round("size", 2))
+    coded = watch(dedup_by_place(sized) if given.issuperset(PLACE_COLUMNS) else sized, "one_per_place")
+    if "category_name" in given:
+        coded = shape.one_hot(coded, "category_name", text.slug_label, labels_from=kept)
     coded = joins.encode_labels(coded, "area_name", area_codes, "area_name_encoded", staged=True)
     coded = joins.encode_labels(coded, "ward_name", ward_codes, "ward_name_encoded", staged=True)
     silver = shape.project_existing(coded, SILVER_COLUMNS, ["cat_"])

@@ -10,12 +10,17 @@ from gable.plans import adapter, gold, hotspot_model, silver, views
 from gable.runtime import stage
 
 
+class Missing(KeyError):
+    """A table whose input was not given."""
+
+
 class Warehouse(Mapping[str, DataFrame]):
     """Tables of one data set by name, built lazily in dependency order.
 
     Silver, dimensions and facts go through ``store`` (default: written to the
     shared folder and read back); the views stay virtual. Tables in ``given``
-    exist already and are used as they are.
+    exist already and are used as they are. What depends on an input that was
+    not given raises :class:`Missing` and is left out of iteration.
     """
 
     def __init__(
@@ -31,6 +36,7 @@ class Warehouse(Mapping[str, DataFrame]):
     ):
         self.spark, self.exact, self._store = spark, exact, store
         self._built: dict[str, DataFrame] = dict(given or {})
+        inputs = {"silver_stations": stations, "silver_trends": trends}
         self._recipes: dict[str, Callable[[], DataFrame]] = {
             "silver_stations": lambda: silver.clean_stations(stations, self["area_codes"], self["ward_codes"]),
             "silver_trends": lambda: silver.clean_trends(trends),
@@ -54,6 +60,7 @@ class Warehouse(Mapping[str, DataFrame]):
                 self["silver_trends"], self["dim_time"], self["dim_search_category"]
             ),
         }
+        self._recipes = {name: made for name, made in self._recipes.items() if inputs.get(name, spark) is not None}
         self._listings = listings
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -67,21 +74,28 @@ class Warehouse(Mapping[str, DataFrame]):
             elif name == "vw_ml_hotspot_dataset":
                 self._built[name] = hotspot_model.hotspot_dataset(self)
             else:
-                raise KeyError(name)
+                raise Missing(name)
         return self._built[name]
 
     def _build_silver(self) -> None:
+        if self._listings is None:
+            raise Missing("silver_listings")
         rows, areas, wards = silver.clean_listings(self._listings, exact=self.exact)
         self._built.update(silver_listings=self._store(rows, "silver_listings"), area_codes=areas, ward_codes=wards)
 
     def __iter__(self):
-        yield from ("silver_listings", "area_codes", "ward_codes", *self._recipes, *views.VIEWS, "vw_ml_hotspot_dataset")
+        for name in dict.fromkeys(("silver_listings", "area_codes", "ward_codes", *self._built, *self._recipes, *views.VIEWS, "vw_ml_hotspot_dataset")):
+            try:
+                self[name]
+            except Missing:
+                continue
+            yield name
 
     def __len__(self) -> int:
-        return 3 + len(self._recipes) + len(views.VIEWS) + 1
+        return sum(1 for _ in self)
 
     def register(self) -> None:
-        """Build everything and make it available to ``spark.sql`` by name."""
+        """Build everything that can be built and make it available to ``spark.sql`` by name."""
         for name in self:
             self[name].createOrReplaceTempView(name)
 

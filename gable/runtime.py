@@ -4,8 +4,9 @@ Three rules live here so that every operator follows them:
 
 * intermediate results that must be read twice are *written* to the folder the
   cluster names in ``spark.checkpoint.dir`` (it survives a lost executor);
-* a side is broadcast only after its rows were counted, and there is a salted
-  shuffle join for the sides that turn out to be too large;
+* a side is broadcast only after its rows were counted and its stored bytes
+  measured; beyond that Spark joins by shuffle and splits skewed partitions at
+  run time, and keys that a count finds hot can be salted;
 * salts come from row content, so a retried task sends its rows to the same
   place.
 """
@@ -14,23 +15,23 @@ from __future__ import annotations
 
 import itertools
 import tempfile
-from collections.abc import Sequence
+import threading
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-#: Largest row count that may be broadcast. Rows here are narrow (keys plus a
-#: few measures), so this stays around 20 MB per executor.
+#: Largest row count and largest stored size that may be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
-#: Copies of the small side in a salted join; one hot key is spread over as
-#: many tasks.
+#: Copies of a right row whose key is hot in a salted join; the key is spread
+#: over as many tasks.
 SALTS = 16
 
-#: A scan of at most this many splits may be spread over the cores.
-SMALL_SCAN_SPLITS = 32
-
 _counter = itertools.count()
 _private: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def build_session(name: str = "gable", master: str | None = None, **conf: object) -> SparkSession:
@@ -84,9 +85,39 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged.__dict__["_staged_rows"] = seen.get["rows"]
+    staged.__dict__["_staged_path"] = path
+    for scope in getattr(_scopes, "open", [])[-1:]:
+        scope.append(path)
     return staged
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after an error, what this thread staged inside; results must be stored by then."""
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in scopes.pop():
+            system, path = _file_system(spark, folder)
+            system.delete(path, True)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def staged_bytes(staged: DataFrame) -> int:
+    """Stored size of a staged table; 0 for a table that was not staged here."""
+    folder = staged.__dict__.get("_staged_path")
+    if folder is None:
+        return 0
+    system, path = _file_system(staged.sparkSession, folder)
+    return system.getContentSummary(path).getLength()
+
+
 def row_count(staged: DataFrame) -> int:
     """Rows of a staged table: remembered from its write, else from the footers."""
     known = staged.__dict__.get("_staged_rows")
@@ -94,19 +125,8 @@ def row_count(staged: DataFrame) -> int:
 
 
 def fits_broadcast(staged: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when a *staged* table has at most ``limit`` rows."""
-    return row_count(staged) <= limit
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of a few splits over the cores; any larger scan is left alone.
-
-    Only the plan is inspected, and the bound on splits keeps the shuffle to a
-    few gigabytes at most.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = min(cores // 2, SMALL_SCAN_SPLITS)
-    return df.repartition(cores) if df.rdd.getNumPartitions() < few else df
+    """True when a *staged* table has at most ``limit`` rows and ``BROADCAST_BYTES`` of files."""
+    return row_count(staged) <= limit and staged_bytes(staged) <= BROADCAST_BYTES
 
 
 def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -123,8 +143,8 @@ def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 def release_staged(spark: SparkSession) -> None:
     """Delete everything this application staged. Call it when its results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gable-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = _file_system(spark, f"{shared_dir(spark)}/gable-{spark.sparkContext.applicationId}")
+    system.delete(path, True)
 
 
 def row_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
@@ -141,36 +161,56 @@ def attach(
     staged: bool = False,
     spread_by: Sequence[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join to a right side that is unique on ``keys``.
 
-    ``right`` is staged and counted. Up to ``broadcast_rows`` it is broadcast
-    and the left side does not move at all. Beyond that the right side is
-    copied ``salts`` times and each left row picks one copy by the hash of
-    ``spread_by`` (default: all its atomic columns), so a key that holds a
-    third of the left rows is still worked on by many tasks.
+    ``right`` is staged, counted and measured. A small one is broadcast and the
+    left side does not move at all. Beyond that it is a shuffle join, whose
+    skewed partitions Spark splits while it runs. With ``hot_rows`` the left
+    keys are counted first; those with more rows are salted by the hash of
+    ``spread_by`` (default: all atomic columns) and only their right rows are
+    copied. At most one key in ``hot_rows`` rows can be hot.
     """
     right = right if staged else stage(right, "attach")
     small = fits_broadcast(right, broadcast_rows)
     right = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    if not small:
-        spread = list(spread_by or atomic_columns(left))
-        left = left.withColumn("__salt", row_salt(spread, salts))
-        right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    else:
+    salted = False
+    if small:
         right = F.broadcast(right)
+    elif hot_rows is not None:
+        hot = stage(left.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > hot_rows).drop("__rows"), "hot")
+        salted = 0 < row_count(hot) and fits_broadcast(hot)
+    if salted:
+        salt = row_salt(list(spread_by or atomic_columns(left)), salts)
+        marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+        left = _matched(left, marks, keys, "__l").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(0)).drop("__hot")
+        marks = F.broadcast(hot.withColumnsRenamed({k: f"__{k}" for k in keys}).withColumn("__hot", F.lit(True)))
+        right = _matched(right, marks, [f"__{k}" for k in keys], "__r")
+        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        right = right.withColumn("__copy", F.explode(copies)).drop("__hot")
     condition = None
     for key in keys:
         here, there = F.col(key), F.col(f"__{key}")
         term = here.eqNullSafe(there) if null_safe else here == there
         condition = term if condition is None else condition & term
-    if not small:
+    if salted:
         condition = condition & (F.col("__salt") == F.col("__copy"))
     joined = left.join(right, condition, "left")
     return joined.drop(*[f"__{k}" for k in keys], "__salt", "__copy")
 
 
+def _matched(df: DataFrame, marks: DataFrame, keys: Sequence[str], stem: str) -> DataFrame:
+    """Left join to a few marked keys, nulls matching."""
+    renamed = marks.withColumnsRenamed({k: f"{stem}{k}" for k in keys})
+    condition = None
+    for key in keys:
+        term = F.col(key).eqNullSafe(F.col(f"{stem}{key}"))
+        condition = term if condition is None else condition & term
+    return df.join(renamed, condition, "left").drop(*[f"{stem}{k}" for k in keys])
+
+
 def atomic_columns(df: DataFrame) -> list[str]:
     """Columns of non-nested type."""
     nested = ("struct", "array", "map", "variant")

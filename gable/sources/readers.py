@@ -77,6 +77,11 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
+def decode_records(messages: DataFrame, schema: StructType | str) -> DataFrame:
+    """Records of ``schema`` from broker messages (``key``, ``value``), batch or stream; a value that is no record gives nulls."""
+    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+
+
 def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: StructType) -> DataFrame:
     """Unbounded records of ``schema``.
 
@@ -87,7 +92,7 @@ def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str], schem
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         raw = reader.option("startingOffsets", options.get("startingOffsets", "earliest")).load()
-        return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+        return decode_records(raw, schema)
     return reader.schema(schema).load()
 
 

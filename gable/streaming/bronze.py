@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gable.functions import dates, text
 from gable.operators import dedup
-from gable.runtime import stage
+from gable.runtime import fits_broadcast, stage, temporary
 from gable.sources.readers import read_jsonl_glob
 from gable.sources.sinks import write_jsonl
 
@@ -84,13 +84,22 @@ def append_batch(
     of the batch only. The ledger is written after the records, so a crash in
     between leaves it short; with ``verify`` the records of those dates are
     read as well. With ``late`` set, rows of dates more than ``horizon_days``
-    before the newest stored date go to that folder instead.
+    before the newest stored date go to that folder instead. What the batch
+    stages is deleted at its end.
     """
+    with temporary(batch.sparkSession):
+        _append_batch(batch, target, max_records, late, horizon_days, verify)
+
+
+def _append_batch(batch: DataFrame, target: str, max_records: int, late: str | None, horizon_days: int, verify: bool) -> None:
     spark = batch.sparkSession
     rows = stage(batch, "micro-batch")
     touched = [r[0] for r in rows.select(F.col("date").cast("string")).distinct().collect()]
     fresh = drop_repeated(rows)
     for stored in _stored_ids(spark, target, late if verify else None, touched, verify):
+        if fits_broadcast(rows):
+            # stored ids are looked at where they lie; only those of the batch move on
+            stored = stored.join(F.broadcast(rows.select("date", "record_id").distinct()), ["date", "record_id"], "left_semi")
         fresh = fresh.join(stored, ["date", "record_id"], "left_anti")
     newest = _newest_date(spark, target) if late else None
     is_late = F.col("date") < F.date_sub(F.lit(newest).cast("date"), horizon_days) if newest else F.lit(False)

@@ -23,19 +23,17 @@ def skewed(spark):
     return spark.createDataFrame(data, "id long, g string, v double").repartition(6)
 
 
-@pytest.mark.parametrize("window_rows", [0, 100_000])
 @pytest.mark.parametrize("parts", [1, 4, 16])
-def test_number_rows_is_dense_and_ordered(skewed, window_rows, parts):
+def test_number_rows_is_dense_and_ordered(skewed, parts):
     distinct = skewed.select("g", "v").distinct().repartition(parts)
-    got = ordered.number_rows(distinct, ["g", "v"], "k", window_rows=window_rows)
+    got = ordered.number_rows(distinct, ["g", "v"], "k")
     expected = distinct.withColumn("k", F.row_number().over(Window.orderBy("g", "v")).cast("long"))
     assert rows(got, "g", "v", "k") == rows(expected, "g", "v", "k")
 
 
-@pytest.mark.parametrize("window_rows", [0, 100_000])
-def test_running_sum_equals_window(skewed, window_rows):
+def test_running_sum_equals_window(skewed):
     histogram = skewed.groupBy("g", "v").agg(F.count("*").alias("n"))
-    got = ordered.running_sum(histogram, ["g"], ["v"], "n", "upto", total="all", window_rows=window_rows)
+    got = ordered.running_sum(histogram, ["g"], ["v"], "n", "upto", total="all")
     w = Window.partitionBy("g")
     expected = histogram.withColumns(
         {"upto": F.sum("n").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(w)}
@@ -45,7 +43,7 @@ def test_running_sum_equals_window(skewed, window_rows):
 
 def test_running_sum_without_groups(skewed):
     histogram = skewed.groupBy("v").agg(F.count("*").alias("n"))
-    got = ordered.running_sum(histogram, [], ["v"], "n", "upto", window_rows=0)
+    got = ordered.running_sum(histogram, [], ["v"], "n", "upto")
     w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     assert rows(got, "v", "upto") == rows(histogram.withColumn("upto", F.sum("n").over(w)), "v", "upto")
 
@@ -80,8 +78,9 @@ def test_sketch_quantiles_are_close(skewed):
 def test_attach_salted_equals_broadcast(skewed):
     dim = skewed.select("g").distinct().withColumn("size", F.length(F.coalesce("g", F.lit("null"))))
     small = attach(skewed, dim, ["g"], null_safe=True)
-    salted = attach(skewed, dim, ["g"], null_safe=True, broadcast_rows=0, spread_by=["id"])
-    assert rows(small) == rows(salted)
+    salted = attach(skewed, dim, ["g"], null_safe=True, broadcast_rows=0, spread_by=["id"], hot_rows=800)
+    plain = attach(skewed, dim, ["g"], null_safe=True, broadcast_rows=0)
+    assert rows(small) == rows(salted) == rows(plain)
     assert salted.count() == skewed.count()
 
 
@@ -94,9 +93,10 @@ def test_attach_null_keys(skewed):
 
 def test_salted_join_spreads_a_hot_key(skewed):
     dim = skewed.select("g").distinct().withColumn("hit", F.lit(1))
-    salted = attach(skewed, dim, ["g"], null_safe=True, broadcast_rows=0, spread_by=["id"])
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "pmod(xxhash64(" in plan
+    plan = lambda **kw: attach(skewed, dim, ["g"], null_safe=True, broadcast_rows=0, spread_by=["id"], **kw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64(" in plan(hot_rows=800)
+    # without a hot key nothing is copied
+    assert "explode" not in plan(hot_rows=100_000) and "explode" not in plan()
 
 
 def test_latest_by_is_idempotent_and_order_free(skewed):
@@ -154,10 +154,21 @@ def test_nearest_ties_nulls_and_chunks(spark, chunk):
         [(1, "w", 10.0, 20.001), (2, "w", 10.49, 20.0), (3, "none", 1.0, 1.0), (4, "w", None, 20.0), (5, None, 1.0, 1.0), (6, "u", 1.0, 1.0)],
         "id long, ward string, latitude double, longitude double",
     )
-    near = joins.nearest(left, points, ["ward"], "pid", row_id=["id"], chunk=chunk)
+    near = joins.nearest(left, points, ["ward"], "pid", chunk=chunk)
     assert rows(near, "id", "pid") == [(1, 1), (2, 3), (3, None), (4, None), (5, None), (6, None)]
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 512])
+def test_nearest_keeps_repeated_rows_of_crowded_buckets(spark, chunk):
+    points = spark.range(700).selectExpr("id AS pid", "CASE WHEN id < 600 THEN 'big' ELSE concat('s', id % 3) END AS ward", "id / 10 AS latitude", "0D AS longitude")
+    left = spark.createDataFrame(
+        [(1, "big", 3.33, 0.0), (1, "big", 59.96, 0.0), (1, "big", 3.33, 0.0), (2, "s0", 60.0, 0.0), (2, "none", 1.0, 1.0), (None, "big", 0.0, 0.0)],
+        "id long, ward string, latitude double, longitude double",
+    )
+    near = joins.nearest(left, points, ["ward"], "pid", chunk=chunk)
+    assert rows(near, "latitude", "pid") == [(0.0, 0), (1.0, None), (3.33, 33), (3.33, 33), (59.96, 599), (60.0, 600)]
+
+
 def test_month_over_month_gap_and_year_wrap(spark):
     months = spark.createDataFrame(
         [("x", 202512, 202511, 5), ("x", 202601, 202512, 8), ("x", 202603, 202602, 9)], "k string, m int, p int, n long"
@@ -199,10 +210,16 @@ def test_unpivot_null_addend(spark):
     assert rows(got) == [(1, "a", 2), (1, "sum", None)]
 
 
-def test_one_hot_refuses_too_many_labels(spark):
-    frame = spark.createDataFrame([(str(i),) for i in range(5)], "v string")
-    with pytest.raises(ValueError):
-        shape.one_hot(frame, "v", str, max_labels=4)
+def test_one_hot_beyond_its_columns_is_a_map(spark):
+    frame = spark.createDataFrame([(str(i),) for i in range(5)] + [(None,)], "v string")
+    got = shape.one_hot(frame, "v", str, max_labels=4)
+    assert rows(got, "v", "cat_flags") == [*[(str(i), {str(i): 1}) for i in range(5)], (None, None)]
+
+
+def test_one_hot_labels_of_one_name_share_a_flag(spark):
+    frame = spark.createDataFrame([("a b",), ("a-b",), ("c",), (None,)], "v string")
+    got = shape.one_hot(frame, "v", lambda v: v.replace("-", "_").replace(" ", "_"))
+    assert rows(got, "v", "cat_a_b", "cat_c") == [("a b", 1, 0), ("a-b", 1, 0), ("c", 0, 1), (None, 0, 0)]
 
 
 def test_sanitize_floats_nested(spark):

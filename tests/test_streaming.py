@@ -76,6 +76,21 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
     assert _stored(spark, target).count() == 2
 
 
+def test_micro_batches_leave_nothing_staged(spark, tmp_path):
+    from pathlib import Path
+
+    from gable.runtime import shared_dir
+
+    staged = Path(shared_dir(spark)) / f"gable-{spark.sparkContext.applicationId}"
+    before = {p.name for p in staged.iterdir()} if staged.exists() else set()
+    source, target = tmp_path / "in", tmp_path / "out"
+    for i in range(20):
+        _put(source, f"{i:02d}.json", [{"record_id": f"r{i % 7}", "crawled_at": DAY}, {"record_id": f"n{i}", "crawled_at": 2 * DAY}])
+    _run(spark, source, target, tmp_path / "cp")
+    assert _stored(spark, target).count() == 27
+    assert {p.name for p in staged.iterdir()} <= before
+
+
 def _events(spark, tmp_path):
     source = tmp_path / "events"
     base = spark.createDataFrame(
