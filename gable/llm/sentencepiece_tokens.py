@@ -8,8 +8,9 @@ unigram scores or merges in the order of the scores of what they make, and byte
 White space never stands inside a piece after other characters, so texts are cut before
 each run of spaces and every distinct part of a batch is encoded once, by the library's
 multithreaded batch call. The same parts go through the reference library: if the two ever
-differ (ties between merges), the reference ids are taken and the part is counted. Decoding
-is the library's, of whole documents.
+differ (ties between merges), the reference ids are taken and the part is counted. The ids
+of every distinct part are decoded again as well; a text comes back if its parts do, since
+the text of ids is that of their parts end to end.
 
 Defined cases: a null or empty text has no ids; a null ``doc_id`` stays null; repeated rows
 are encoded one by one; an empty table gives no rows; other columns are ignored by the query
@@ -117,14 +118,14 @@ def build_tokenizer(model: dict):
     if model["trim"]:
         steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
     tokenizer.normalizer = normalizers.Sequence(steps + [normalizers.Replace(" ", MARK)])
-    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", 1 if model["prefix"] else 0, 0)])
+    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
     return tokenizer
 
 
 class Pieces:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, decoding: bool = False) -> None:
         import sentencepiece
 
         with open(path, "rb") as file:
@@ -133,7 +134,10 @@ class Pieces:
         # cutting at spaces is exact only if no piece has a marker behind another character
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p[0]) for p in self.model["pieces"])
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
+        # ids of parts as 32-bit numbers: those of late, and the generation before them
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.decoding, self.spoilt = decoding, set()
         self.differing: set[str] = set()
 
     def marked(self, text: str) -> str:
@@ -152,48 +156,55 @@ class Pieces:
                     self.differing.add(part)
                     a = b
                 self.known[part] = np.asarray(a, dtype="<u4").tobytes()
+            if self.decoding:
+                final = [a if p not in self.differing else b for p, a, b in zip(some, ours, theirs, strict=True)]
+                back = self.tokenizer.decode_batch(final, skip_special_tokens=False)
+                self.spoilt.update(p for p, t in zip(some, back, strict=True) if t != p.replace(MARK, " "))
 
-    def encode_flat(self, all_texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
-        """Ids of all texts end to end, how many each has, and how many of its parts took the reference's ids."""
+    def encode_flat(self, all_texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+        """Ids of all texts end to end, how many each has, how many of its parts took the reference's ids, how many did not come back."""
         cut = [_PART.findall(self.marked(t)) if self.cuts else [self.marked(t)] if t else [] for t in all_texts]
         parts = set(chain.from_iterable(cut))
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if new := parts - self.known.keys():
+            self.before, self.known = self.known, {}
+        new = parts - self.known.keys()
+        again = new & self.before.keys()
+        self.known.update((p, self.before[p]) for p in again)
+        if new := new - again:
             self.learn(new)
-        odd = parts & self.differing
+        odd, lost = parts & self.differing, parts & self.spoilt
         ids = [b"".join(map(self.known.__getitem__, c)) for c in cut]
         counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        return np.frombuffer(b"".join(ids), dtype="<u4"), counts, [sum(p in odd for p in c) if odd else 0 for c in cut]
+        return np.frombuffer(b"".join(ids), dtype="<u4"), counts, [sum(p in odd for p in c) if odd else 0 for c in cut], [sum(p in lost for p in c) if lost else 0 for c in cut]
 
     def encode_batch(self, all_texts: list[str]) -> tuple[list[list[int]], list[int]]:
         """Ids of each text as lists, and how many of its parts took the reference's ids."""
-        flat, counts, odd = self.encode_flat(all_texts)
+        flat, counts, odd, _ = self.encode_flat(all_texts)
         return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] if len(counts) else [], odd
 
     def decode_batch(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        """Texts of whole lists of ids, without the prefix."""
+        lead = 1 if self.model["prefix"] else 0
+        return [t[lead:] if t.startswith(" ") else t for t in self.tokenizer.decode_batch(ids, skip_special_tokens=False)]
 
 
-_LOADED: dict[str, Pieces] = {}
+_LOADED: dict[tuple[str, bool], Pieces] = {}
 
 
-def loaded(path: str) -> Pieces:
-    """One model for each worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+def loaded(path: str, decoding: bool = False) -> Pieces:
+    """One model for each worker process and use."""
+    if (path, decoding) not in _LOADED:
+        _LOADED[path, decoding] = Pieces(path, decoding)
+    return _LOADED[path, decoding]
 
 
 def digest(path: str):
     def rows(batches):
-        model = loaded(path)
-        for batch in pieces(batches, size=1 << 20):
-            said = [t or "" for t in batch.column("text").to_pylist()]
-            flat, counts, odd = model.encode_flat(said)
+        model = loaded(path, decoding=True)
+        for batch in pieces(batches, size=1 << 21):
+            flat, counts, odd, lost = model.encode_flat([t or "" for t in batch.column("text").to_pylist()])
             ids = np.split(flat, np.cumsum(counts)[:-1])
-            back = list(chain.from_iterable(model.decode_batch([i.tolist() for i in ids[lo : lo + 256]]) for lo in range(0, len(ids), 256)))
-            same = [a == model_text(model, b) for a, b in zip(back, said, strict=True)]
+            same = [n == 0 for n in lost]
             crcs = [zlib.crc32(i.tobytes()) for i in ids]
             arrays = [batch.column("doc_id"), pa.array(counts), pa.array(crcs, pa.int64()), pa.array(odd, pa.int64()), pa.array(same)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_crc32", "n_reference", "round_trip"])
@@ -215,7 +226,7 @@ def with_ids(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
     def rows(batches):
         model = loaded(path)
         for batch in pieces(batches, size=1 << 20):
-            flat, counts, _ = model.encode_flat([t or "" for t in batch.column("text").to_pylist()])
+            flat, counts, *_ = model.encode_flat([t or "" for t in batch.column("text").to_pylist()])
             ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, column])

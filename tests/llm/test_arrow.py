@@ -177,11 +177,14 @@ def test_sentencepiece(spark, odd, small, none):
     got = sentencepiece_tokens.with_ids(docs, path).collect()
     reference = sentencepiece.SentencePieceProcessor(model_file=path)
     assert all(r.ids == reference.encode(r.text or "") for r in got) and len(got) == docs.count()
-    model = sentencepiece_tokens.Pieces(path)
+    model = sentencepiece_tokens.Pieces(path, decoding=True)
     ids, odd_parts = model.encode_batch(strange)
-    assert sum(odd_parts) == 0
+    assert sum(odd_parts) == 0 and not model.spoilt
     assert model.decode_batch(ids) == [sentencepiece_tokens.model_text(model, t) for t in strange]
     assert sentencepiece_tokens.with_ids(none, path).count() == 0
+    digests = docs.select("doc_id", "text").mapInArrow(sentencepiece_tokens.digest(path), "doc_id long, n_tokens long, ids_crc32 long, n_reference long, round_trip boolean").collect()
+    said = sorted((str(i), len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes()), 0, True) for i, x in ((i, reference.encode(t or "")) for i, t in pairs(docs)))
+    assert sorted((str(r[0]), *tuple(r)[1:]) for r in digests) == said
 
 
 def test_sentencepiece_unigram():
