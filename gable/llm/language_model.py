@@ -14,8 +14,8 @@ find keys by binary search; nothing of the model but a few sums passes the drive
 ``p(w)`` is the same over continuation counts, with the uniform distribution over known
 words and one unknown word below it. A text starts in the context of the end token.
 
-Order 2 is a parameter of the data, not of the method: sorted trigram counts alone take
-more than the disk that the check allows.
+The order is 2: in this prose most trigrams are seen once, and sorted counts of both orders
+would take more than five times the input (figures in the README).
 
 Defined cases: a null or empty text is the end token alone; a null ``doc_id`` is held
 out by nothing and trains like other rows; repeated rows count each time; with no
