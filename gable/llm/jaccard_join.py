@@ -10,9 +10,10 @@
 2. Equal block words join documents with the smallest id that has the word. Tasks first do
    so among their own rows, so a key of a third of all rows leaves each task once.
    Connected components of these joins are clusters: every link lies inside one.
-3. Clusters are verified: one-bit parity sketches give Hamming distances, which never
-   exceed the symmetric difference, by a matrix product, and drop pairs that cannot be
-   linked; the rest are counted exactly on their sets. Small clusters are packed into
+3. Clusters are split and verified: one-bit parity sketches (a few hundred bytes, folded to
+   one width) give Hamming distances, which never exceed the symmetric difference, by a
+   matrix product; parts that are not joined by pairs within the bound come apart. What is
+   left is counted exactly on the sets. In both steps small clusters are packed into
    tasks; big ones are cut by size band and hash into pieces whose bytes and rows are
    bounded, and every pair of pieces that can hold a link is a task of its own.
 4. Components of the links, over classes of equal sets, are the result.
@@ -43,6 +44,8 @@ from gable.runtime import stage
 GATHER = 1_500_000
 #: Bounds of a piece of a cluster: bytes of its sets, and documents.
 PIECE_BYTES, PIECE_DOCS = 8_000_000, 2048
+#: Bits of a parity sketch.
+LEAST_BITS, MOST_BITS = 256, 4096
 #: Shingle columns of a matrix product.
 SLAB = 2048
 
@@ -107,16 +110,54 @@ def signatures(sets: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first, second
 
 
+def parity_bits(s: np.ndarray, n: int) -> np.ndarray:
+    """One bit for each slot, flipped by each shingle of a set; about two slots a shingle, within bounds."""
+    m = int(min(max(LEAST_BITS, 2 ** math.ceil(math.log2(2 * max(n, 1)))), MOST_BITS))
+    return (np.bincount((mix(s + np.uint64(5)) % np.uint64(m)).astype(np.int64), minlength=m) & 1).astype(np.uint8)
+
+
+def folded(blobs: list[bytes]) -> np.ndarray:
+    """Sketches as rows of plus and minus ones, all of the width of the narrowest; folding a parity sketch gives a parity sketch."""
+    m = 8 * min(map(len, blobs))
+    rows = np.empty((len(blobs), m), dtype=np.float32)
+    for i, blob in enumerate(blobs):
+        bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8)).reshape(-1, m)
+        rows[i] = 1 - 2.0 * (bits.sum(axis=0) & 1)
+    return rows
+
+
 def describe(rule: Rule):
     def rows(batches):
         for batch in pieces(batches, size=1 << 22):
             sets, n = shingle_sets(batch.column("text"), rule.words)
             first, second = signatures(sets, n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(first.view(np.int64)), pa.array(second.view(np.int64))], ["doc_id", "n", "s1", "s2"])
+            ends = np.cumsum(n)
+            sketches = [np.packbits(parity_bits(sets[e - k : e], k)).tobytes() for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+            arrays = [batch.column("doc_id"), pa.array(n), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "s1", "s2", "sketch"])
 
     return rows
 
 
+def near(rule: Rule):
+    """For a group of pieces: ``a, b``: each document and the smallest that pairs within the Hamming bound lead to."""
+
+    def piece(table: pa.Table) -> pa.Table:
+        cluster, docs = table.column("cluster").to_numpy(), table.column("doc_id").to_numpy()
+        n, blobs = table.column("n").to_numpy(), table.column("sketch").to_pylist()
+        order = np.lexsort((docs, cluster))
+        out = []
+        for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+            size = n[rows]
+            graph = hamming_bound(folded([blobs[i] for i in rows])) <= rule.differences(size[:, None] + size[None, :]) + 0.25
+            out.append((docs[rows], docs[rows][parts_of(graph)]))
+        a, b = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+        give_back()
+        return pa.table({"a": pa.array(a[a != b]), "b": pa.array(b[a != b])})
+
+    return piece
+
+
 def block_keys(sets: np.ndarray, n: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all documents in their two bands, and the document of each key."""
     if not len(sets):
@@ -234,13 +275,9 @@ def links(sets: list[np.ndarray], side: np.ndarray, cross: bool, rule: Rule) ->
     found = np.zeros((len(sets), len(sets)), dtype=bool)
     groups = [np.arange(len(sets))]
     if len(sets) > 16:
-        m = int(min(max(256, 2 ** math.ceil(math.log2(2 * n.max()))), 4096))
-        bits = np.empty((len(sets), m), dtype=np.float32)
-        for i, s in enumerate(sets):
-            bits[i] = 1 - 2 * (np.bincount((mix(s + np.uint64(5)) % np.uint64(m)).astype(np.int64), minlength=m) & 1)
-        bound = rule.differences(n[:, None] + n[None, :])
-        near = hamming_bound(bits) <= bound + 0.25
-        label = parts_of(near)
+        sketches = [np.packbits(parity_bits(s, len(s))).tobytes() for s in sets]
+        close = hamming_bound(folded(sketches)) <= rule.differences(n[:, None] + n[None, :]) + 0.25
+        label = parts_of(close)
         groups = [np.flatnonzero(label == g) for g in np.unique(label)]
     for g in groups:
         if len(g) > 1:
@@ -316,7 +353,7 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
     classes that class is linked with.
     """
     rows = texts(docs)
-    meta = stage(rows.mapInArrow(describe(rule), "doc_id long, n long, s1 long, s2 long"), "sets")
+    meta = stage(rows.mapInArrow(describe(rule), "doc_id long, n long, s1 long, s2 long, sketch binary"), "sets")
     known = meta.where("doc_id IS NOT NULL AND n > 0")
     by_set = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("class_id"))
     classes = stage(known.join(by_set, ["s1", "s2", "n"]).select("doc_id", "class_id", "n"), "classes")
@@ -329,8 +366,15 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
     named = classes.select(F.col("doc_id").alias("doc"), F.col("class_id").alias("a"))
     edges = stage(joined, "joined").join(named, "doc").join(named.withColumnsRenamed({"doc": "head", "a": "b"}), "head").select("a", "b").where("a <> b")
     clusters = components(edges)
-    members = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.max("n").alias("n"))
-    members = stage(members.join(clusters.selectExpr("node AS doc_id", "component AS cluster"), "doc_id"), "members")
+    named_sizes = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.max("n").alias("n"))
+
+    def of(parts: DataFrame) -> DataFrame:
+        return stage(named_sizes.join(parts.selectExpr("node AS doc_id", "component AS cluster"), "doc_id"), "members")
+
+    # sketches are small, so the clusters of shared blocks come apart before any set is sent
+    sketched = pieces_of(of(clusters), rule, largest).join(meta.select("doc_id", "n", "sketch"), "doc_id")
+    sketched = sketched.select("doc_id", "n", "cluster", F.explode("tasks").alias("t"), "sketch").select("doc_id", "n", "cluster", "t.task", "sketch")
+    members = of(components(sketched.groupBy("task").applyInArrow(near(rule), "a long, b long")))
     sets = sized_join(rows, pieces_of(members, rule, largest), ["doc_id"], "inner").select("doc_id", "cluster", "tasks", "text")
     sets = sets.mapInArrow(with_sets(rule), SET_ROWS).select("doc_id", "cluster", F.explode("tasks").alias("t"), "set").select("doc_id", "cluster", "t.*", "set")
     found = stage(sets.groupBy("task").applyInArrow(verify(rule), "a long, b long, links long"), "links")
@@ -341,7 +385,7 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
     bridges = same.join(split.withColumnRenamed("doc_id", "a"), "a", "left_semi")
     parts = components(found.select("a", "b").union(bridges)).withColumnsRenamed({"node": "class_id", "component": "part"})
     about = stage(by_set.groupBy("class_id").agg(F.first("s1").alias("_")).drop("_").join(counts, "class_id", "left").join(parts, "class_id", "left"), "about")
-    out = meta.join(by_set, ["s1", "s2", "n"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")))
+    out = meta.drop("sketch").join(by_set, ["s1", "s2", "n"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")))
     out = out.join(about, "class_id", "left")
     own = F.col("doc_id").isNull()
     return out.select(
