@@ -35,8 +35,8 @@ from gable.llm.tokens import pieces
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Parts a worker remembers, and parts in one call of the library.
-REMEMBERED, CALL = 200_000, 4_000
+#: Parts a worker remembers in a generation (beside other stages, and where this is all it does), parts in one call.
+REMEMBERED, REMEMBERED_ALONE, CALL = 200_000, 500_000, 4_000
 
 _PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -165,7 +165,7 @@ class Pieces:
         """Ids of all texts end to end, how many each has, how many of its parts took the reference's ids, how many did not come back."""
         cut = [_PART.findall(self.marked(t)) if self.cuts else [self.marked(t)] if t else [] for t in all_texts]
         parts = set(chain.from_iterable(cut))
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > (REMEMBERED_ALONE if self.decoding else REMEMBERED):
             self.before, self.known = self.known, {}
         new = parts - self.known.keys()
         again = new & self.before.keys()
