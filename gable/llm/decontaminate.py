@@ -1,15 +1,18 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A seed is a window of ``SPAN`` tokens of which a fixed mask keeps ``8`` and ignores
-the rest, so a substituted token in an ignored place does not hide the window. The
-kept tokens of every benchmark window are hashed once per mask; the same hashes of
-every training document are looked up in them. Around each hit, benchmark item and
-document are laid on top of each other and compared token by token: the document is
-contaminated if some ``OVERLAP`` aligned tokens (or all of a shorter item) agree in at
-least ``AGREE`` of all places.
+A seed is two blocks of three tokens at one of four distances, given by a mask; the
+tokens between them are ignored. The kept tokens of every benchmark place are hashed
+once per mask; the same hashes of every training document are looked up in them.
+Around each hit, benchmark item and document are laid on top of each other and
+compared token by token: the document is contaminated if some ``OVERLAP`` aligned
+tokens (or all of a shorter item) agree in at least ``AGREE`` of all places.
+
+The masks find whatever that comparison accepts: 15 or 16 places hold five blocks
+of three, of which 3 changed tokens spoil three at most, and 12 to 14 places hold
+four, of which 2 spoil two; the two blocks left are at a distance of 3, 6, 9 or 12.
 
 Two bit tables of fixed size (parameters) thin the positions before the lookup:
-one of the first two kept tokens, which all masks share, one of whole seeds. They
+one of the first three kept tokens, which all masks share, one of whole seeds. They
 have no false negatives, so they change the cost and never the result. The seed
 table is broadcast up to a counted size and shuffled beyond it.
 
@@ -28,13 +31,10 @@ from gable.llm.common import read, settled, sized_join, texts, words
 from gable.runtime import stage
 
 SPAN = 12
-#: Places that each mask keeps; all keep the first two.
-MASKS = (
-    (0, 1, 3, 4, 6, 7, 9, 10),
-    (0, 1, 2, 5, 6, 7, 10, 11),
-    (0, 1, 4, 5, 8, 9, 10, 11),
-    (0, 1, 2, 3, 6, 8, 9, 11),
-)
+#: Places that each mask keeps: a block of three and a second one.
+MASKS = tuple((0, 1, 2, at, at + 1, at + 2) for at in (3, 6, 9, 12))
+#: Tokens that the narrowest seed covers.
+NARROWEST = 6
 #: Aligned tokens that are compared, and the share of them that must agree.
 OVERLAP, AGREE = 16, 0.8
 #: Tokens on each side of a hit that the comparison may use.
@@ -51,7 +51,7 @@ def token_hashes(text: Column) -> Column:
 
 def seed(mask: int, at: str = "i") -> str:
     kept = ", ".join(f"__h[{at} + {o}]" for o in MASKS[mask])
-    return f"xxhash64({mask}, {kept})"
+    return f"CASE WHEN {at} + {MASKS[mask][-1]} < size(__h) THEN xxhash64({mask}, {kept}) END"
 
 
 def bit_table(hashes: DataFrame, column: str, bits: int) -> str:
@@ -69,7 +69,7 @@ def has_bit(table: str, hashed: str, bits: int) -> str:
 
 
 def seeds_of(hashed: DataFrame, places: str) -> DataFrame:
-    """Rows ``__m, __s, i`` for each place of the array ``places``."""
+    """Adds ``__seeds``: ``m, s, i`` of each mask and place of the array ``places``; ``s`` is null where a seed goes beyond the text."""
     each = ", ".join(f"struct({m} AS m, {seed(m)} AS s, i AS i)" for m in range(len(MASKS)))
     return settled(hashed, __seeds=f"flatten(transform({places}, i -> array({each})))")
 
@@ -78,24 +78,24 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     """``s`` (seed), ``item_id``, ``ipos``, ``ih`` (token hashes of the item); repeated items count once."""
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL").distinct()
     hashed = settled(items.select("item_id", "text"), __h=token_hashes(F.col("text")))
-    starts = f"CASE WHEN size(__h) >= {SPAN} THEN sequence(0, size(__h) - {SPAN}) END"
+    starts = f"CASE WHEN size(__h) >= {SPAN} THEN sequence(0, size(__h) - {NARROWEST}) END"
     rows = seeds_of(hashed, starts).select("item_id", F.col("__h").alias("ih"), F.explode_outer("__seeds").alias("x"))
-    return rows.where("x IS NOT NULL").select("item_id", "ih", F.col("x.s").alias("s"), F.col("x.i").alias("ipos"))
+    return rows.where("x.s IS NOT NULL").select("item_id", "ih", F.col("x.s").alias("s"), F.col("x.i").alias("ipos"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, matched, start``: verified overlaps, best one for each document and item."""
     test = stage(benchmark_seeds(benchmark), "seeds")
-    pairs = test.select(F.expr("xxhash64(ih[ipos], ih[ipos + 1])").alias("p"))
-    pair_table, seed_table = bit_table(pairs, "p", PAIR_BITS), bit_table(test, "s", SEED_BITS)
+    blocks = test.select(F.expr("xxhash64(ih[ipos], ih[ipos + 1], ih[ipos + 2])").alias("p"))
+    block_table, seed_table = bit_table(blocks, "p", PAIR_BITS), bit_table(test, "s", SEED_BITS)
 
     hashed = settled(texts(docs), __h=token_hashes(F.col("text"))).drop("text")
-    near = f"transform(slice(__h, 2, greatest(size(__h) - {SPAN - 1}, 0)), (x, i) -> xxhash64(__h[i], x))"
-    paired = settled(hashed, __p=near)
-    open_ = settled(paired, __at=f"array_compact(transform(__p, (p, i) -> CASE WHEN {has_bit(pair_table, 'p', PAIR_BITS)} THEN i END))")
+    near = f"transform(slice(__h, 3, greatest(size(__h) - {NARROWEST - 1}, 0)), (x, i) -> xxhash64(__h[i], __h[i + 1], x))"
+    blocked = settled(hashed, __p=near)
+    open_ = settled(blocked, __at=f"array_compact(transform(__p, (p, i) -> CASE WHEN {has_bit(block_table, 'p', PAIR_BITS)} THEN i END))")
     seeded = seeds_of(open_.drop("__p"), "__at")
-    around = f"struct(x.s AS s, x.i AS i, greatest(x.i - {REACH}, 0) AS lo, slice(__h, greatest(x.i - {REACH}, 0) + 1, {2 * REACH + SPAN}) AS dh)"
-    kept = settled(seeded, __hits=f"transform(filter(__seeds, x -> {has_bit(seed_table, 'x.s', SEED_BITS)}), x -> {around})")
+    around = f"struct(x.s AS s, x.i AS i, greatest(x.i - {REACH}, 0) AS lo, slice(__h, greatest(x.i - {REACH}, 0) + 1, {2 * REACH + OVERLAP}) AS dh)"
+    kept = settled(seeded, __hits=f"transform(filter(__seeds, x -> x.s IS NOT NULL AND {has_bit(seed_table, 'x.s', SEED_BITS)}), x -> {around})")
     hits = kept.select("doc_id", F.explode_outer("__hits").alias("x")).where("x IS NOT NULL AND doc_id IS NOT NULL")
     hits = hits.select("doc_id", "x.s", "x.i", "x.lo", "x.dh")
 

@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from itertools import combinations
 
 import brute
 import pytest
@@ -96,6 +97,26 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(whole, bench.limit(0)).count() == 0
 
 
+def accepted(size, gone):
+    """Whether the comparison accepts an item of ``size`` words copied with changes at the places ``gone``."""
+    wide = min(size, decontaminate.OVERLAP)
+    return any(5 * (wide - sum(k <= g < k + wide for g in gone)) >= 4 * wide for k in range(size - wide + 1))
+
+
+def test_decontamination_of_every_substitution(spark):
+    items = {n: prose(700 + n, n).split() for n in range(12, 21)}
+    docs = []
+    for n, words in items.items():
+        for gone in (g for m in (1, 2, 3) for g in combinations(range(n), m) if accepted(n, g)):
+            docs.append((len(docs) * 100 + n, " ".join(["before", *(f"new{i}" if i in gone else w for i, w in enumerate(words)), "behind"])))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = {r.doc_id: r.item_ids for r in decontaminate.contaminated(table(spark, docs), bench).collect()}
+    assert [t for i, t in docs if i % 100 not in found.get(i, [])] == []
+    # a window in the last place that a stretch of hits can hold
+    far = " ".join([*prose(1, 10).split(), *[w for _ in range(9) for w in items[20]], *items[16]])
+    assert decontaminate.contaminated(table(spark, [(1, far)]), bench).head().item_ids == [16, 20]
+
+
 def conversation_rows(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
