@@ -5,7 +5,10 @@ tokens between them are ignored. The kept tokens of every benchmark place are ha
 once per mask; the same hashes of every training document are looked up in them.
 Around each hit, benchmark item and document are laid on top of each other and
 compared token by token: the document is contaminated if some ``OVERLAP`` aligned
-tokens (or all of a shorter item) agree in at least ``AGREE`` of all places.
+tokens (or all of a shorter item) agree in at least ``AGREE`` of all places. Places
+beyond the end of item or document count as disagreeing, so a passage at an edge is
+found by as many equal tokens as one within. Items of fewer than ``SPAN`` tokens are
+looked for as a whole and word for word, by one hash each, where ``short`` asks for it.
 
 The masks find whatever that comparison accepts: 15 or 16 places hold five blocks
 of three, of which 3 changed tokens spoil three at most, and 12 to 14 places hold
@@ -16,9 +19,9 @@ one of the first three kept tokens, which all masks share, one of whole seeds. T
 have no false negatives, so they change the cost and never the result. The seed
 table is broadcast up to a counted size and shuffled beyond it.
 
-Everything is DataFrame functions. Defined cases: null and empty texts, and texts
-or items of fewer than ``SPAN`` tokens, match nothing (such an item cannot be told
-from ordinary text); rows without ``doc_id`` or ``item_id`` are not reported;
+Everything is DataFrame functions. Defined cases: null and empty texts and items
+match nothing; without ``short``, items of fewer than ``SPAN`` tokens match nothing
+(such an item is hard to tell from ordinary text); rows without ``doc_id`` or ``item_id`` are not reported;
 rows that repeat a ``doc_id`` are reported once for it; empty tables give no rows;
 other columns are ignored. Tokens are lower-cased words between white space.
 """
@@ -74,19 +77,38 @@ def seeds_of(hashed: DataFrame, places: str) -> DataFrame:
     return settled(hashed, __seeds=f"flatten(transform({places}, i -> array({each})))")
 
 
-def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """``s`` (seed), ``item_id``, ``ipos``, ``ih`` (token hashes of the item); repeated items count once."""
+def benchmark_seeds(benchmark: DataFrame, short: bool = False) -> DataFrame:
+    """``s`` (seed), ``item_id``, ``ipos``, ``ih`` (token hashes of the item); repeated items count once, ``short`` ones have one seed."""
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL").distinct()
     hashed = settled(items.select("item_id", "text"), __h=token_hashes(F.col("text")))
     starts = f"CASE WHEN size(__h) >= {SPAN} THEN sequence(0, size(__h) - {NARROWEST}) END"
-    rows = seeds_of(hashed, starts).select("item_id", F.col("__h").alias("ih"), F.explode_outer("__seeds").alias("x"))
+    seeded = seeds_of(hashed, starts)
+    if short:
+        whole = "array(struct(-1 AS m, xxhash64(-size(__h), __h) AS s, 0 AS i))"
+        seeded = settled(seeded.withColumnRenamed("__seeds", "__long"), __seeds=f"CASE WHEN size(__h) BETWEEN 1 AND {SPAN - 1} THEN {whole} ELSE __long END")
+    rows = seeded.select("item_id", F.col("__h").alias("ih"), F.explode_outer("__seeds").alias("x"))
     return rows.where("x.s IS NOT NULL").select("item_id", "ih", F.col("x.s").alias("s"), F.col("x.i").alias("ipos"))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, matched, start``: verified overlaps, best one for each document and item."""
-    test = stage(benchmark_seeds(benchmark), "seeds")
-    blocks = test.select(F.expr("xxhash64(ih[ipos], ih[ipos + 1], ih[ipos + 2])").alias("p"))
+def with_short(kept: DataFrame, test: DataFrame, seed_table: str) -> DataFrame:
+    """Adds to ``__hits`` the seed of each item of fewer than ``SPAN`` tokens in the document, once for each, without a stretch."""
+    items = test.where(f"size(ih) < {SPAN}")
+    sizes = sorted(r.n for r in items.select(F.size("ih").alias("n")).distinct().collect())  # fewer than SPAN rows
+    if not sizes:
+        return kept
+    first_table = bit_table(items.select(F.expr("ih[0]").alias("t")), "t", PAIR_BITS)
+    begun = settled(kept, __begin=f"array_compact(transform(__h, (t, i) -> CASE WHEN {has_bit(first_table, 't', PAIR_BITS)} THEN i END))")
+    each = ", ".join(f"CASE WHEN i + {n} <= size(__h) THEN xxhash64(-{n}, slice(__h, i + 1, {n})) END" for n in sizes)
+    whole = settled(begun, __whole=f"array_distinct(flatten(transform(__begin, i -> array({each}))))")
+    found = f"filter(__whole, s -> s IS NOT NULL AND {has_bit(seed_table, 's', SEED_BITS)})"
+    more = f"transform({found}, s -> struct(s AS s, 0 AS i, 0 AS lo, cast(null AS array<bigint>) AS dh))"
+    return settled(whole.withColumnRenamed("__hits", "__long"), __hits=f"concat(__long, {more})")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, short: bool = False) -> DataFrame:
+    """``doc_id, item_id, matched, start``: verified overlaps, best one for each document and item; ``start`` is null for items below ``SPAN``."""
+    test = stage(benchmark_seeds(benchmark, short), "seeds")
+    blocks = test.where(f"size(ih) >= {SPAN}").select(F.expr("xxhash64(ih[ipos], ih[ipos + 1], ih[ipos + 2])").alias("p"))
     block_table, seed_table = bit_table(blocks, "p", PAIR_BITS), bit_table(test, "s", SEED_BITS)
 
     hashed = settled(texts(docs), __h=token_hashes(F.col("text"))).drop("text")
@@ -96,13 +118,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeded = seeds_of(open_.drop("__p"), "__at")
     around = f"struct(x.s AS s, x.i AS i, greatest(x.i - {REACH}, 0) AS lo, slice(__h, greatest(x.i - {REACH}, 0) + 1, {2 * REACH + OVERLAP}) AS dh)"
     kept = settled(seeded, __hits=f"transform(filter(__seeds, x -> x.s IS NOT NULL AND {has_bit(seed_table, 'x.s', SEED_BITS)}), x -> {around})")
+    if short:
+        kept = with_short(kept, test, seed_table)
     hits = kept.select("doc_id", F.explode_outer("__hits").alias("x")).where("x IS NOT NULL AND doc_id IS NOT NULL")
     hits = hits.select("doc_id", "x.s", "x.i", "x.lo", "x.dh")
 
     # one comparison for each alignment and stretch of REACH tokens
     found = sized_join(hits, test, ["s"], "inner", BROADCAST_SEEDS)
     found = found.groupBy("doc_id", "item_id", F.expr("i - ipos").alias("shift"), F.expr(f"i div {REACH}").alias("part")).agg(
-        F.min_by(F.struct("lo", "dh", "ih"), "i").alias("x")
+        F.min_by(F.struct("lo", F.coalesce("dh", "ih").alias("dh"), "ih"), "i").alias("x")
     )
     # item place j lies on document place j + shift, which is dh[j + shift - lo]
     found = found.select("doc_id", "item_id", "shift", "x.lo", "x.dh", "x.ih")
@@ -111,23 +135,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = settled(found, __w=f"least({OVERLAP}, size(ih))")
     sums = "transform(sequence(0, greatest(size(__same) - __w, 0)), k -> aggregate(slice(__same, k + 1, __w), 0, (a, x) -> a + x))"
     found = settled(found, __best=f"array_max({sums})")
-    verified = found.where(f"size(__same) >= __w AND __best >= ceil({AGREE} * __w)")
+    verified = found.where(f"__best >= CASE WHEN size(ih) < {SPAN} THEN size(ih) ELSE ceil({AGREE} * __w) END")
     return verified.groupBy("doc_id", "item_id").agg(
-        F.max(F.expr("aggregate(__same, 0, (a, x) -> a + x)")).alias("matched"), F.min(F.expr("shift + __first")).alias("start")
+        F.max(F.expr("aggregate(__same, 0, (a, x) -> a + x)")).alias("matched"), F.min(F.expr(f"CASE WHEN size(ih) >= {SPAN} THEN shift + __first END")).alias("start")
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, short: bool = False) -> DataFrame:
     """One row for each contaminated document: ``doc_id, n_items, item_ids, matched`` (most tokens shared with an item)."""
-    rows = overlaps(docs, benchmark).groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("matched").alias("matched"))
+    rows = overlaps(docs, benchmark, short).groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("matched").alias("matched"))
     return rows.select("doc_id", F.size("item_ids").cast("long").alias("n_items"), "item_ids", F.col("matched").cast("long").alias("matched"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, short: bool = False) -> DataFrame:
     """The documents that share no passage with the benchmark, all columns as they are."""
-    ids = contaminated(docs, benchmark).select("doc_id")
+    ids = contaminated(docs, benchmark, short).select("doc_id")
     return sized_join(docs, ids, ["doc_id"], "left_anti").select(*docs.columns)
 
 
 def op1_decontaminate(spark, folder: str) -> DataFrame:
-    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"), short=True)

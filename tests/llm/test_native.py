@@ -117,6 +117,24 @@ def test_decontamination_of_every_substitution(spark):
     assert decontaminate.contaminated(table(spark, [(1, far)]), bench).head().item_ids == [16, 20]
 
 
+def test_decontamination_at_edges_and_of_short_items(spark, odd):
+    long, short = [prose(600 + i, n).split() for i, n in enumerate((40, 15, 12))], [prose(661, 11), prose(654, 4), "xylem"]
+    items = [*[" ".join(w) for w in long], *short]
+    join = " ".join
+    docs = [
+        (0, f"{prose(20, 30)} {join(long[0][:13])}"), (1, f"{join(long[0][-13:])} {prose(21, 30)}"), (2, join(long[0][9:24])), (3, join(long[1][2:14])),
+        (4, f"{prose(22, 9)} {join(long[2][:10])}"), (5, f"{prose(23, 30)} {join(long[0][:12])}"), (6, join(long[2][1:10])),
+        (7, f"{prose(24, 30)} {short[0].upper()} {prose(25, 30)}"), (8, short[1]), (9, f"{short[1]} a {short[1]}"), (10, join(short[0].split()[1:])), (11, f"odd{short[2]}"), (12, short[2]),
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontaminate.contaminated(table(spark, docs), bench, short=True)
+    assert no_python(found)
+    got = {r.doc_id: (r.item_ids, r.matched) for r in found.collect()}
+    assert got == {0: ([0], 13), 1: ([0], 13), 2: ([0], 15), 3: ([1], 12), 4: ([2], 10), 7: ([3], 11), 8: ([4], 4), 9: ([4], 4), 12: ([5], 1)}
+    assert set(decontaminate.contaminated(table(spark, docs), bench).toPandas().doc_id) == {0, 1, 2, 3, 4}
+    assert decontaminate.contaminated(odd, bench.where("item_id IN (3, 4)"), short=True).count() == 0
+
+
 def conversation_rows(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
