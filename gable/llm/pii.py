@@ -2,7 +2,9 @@
 
 Base spans are leftmost non-overlapping matches per kind, checked afterwards (parts
 of an address, digit count, check digit). They are the seeds of a bootstrap: every
-token that looks like an identifier is an instance, the words around it are its
+token that looks like an identifier is an instance, and so is every longest run of
+tokens of digits that only spaces, brackets, dots and hyphens join, outside base spans
+(a base span over several tokens is one instance too). The words around it are its
 lexical patterns (the two words before it; the word before and the word after it).
 Instances and patterns form a graph that Spark scores in rounds: a pattern is worth
 the mean confidence of its instances in a kind, damped by ``DAMPING`` so that few
@@ -49,6 +51,9 @@ VALID = {
 }
 #: Tokens that look like identifiers.
 TOKEN = r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r0-9@]*+[0-9@][^ \t\n\x0B\f\r]*+"
+#: Tokens that a run may go on after, tokens that may go on with it, and what lies between.
+GOES_ON, FOLLOWS = r"^[^\p{L}\p{N}@+().-]*+[0-9+().-]++$", r"^[0-9+().-]++[^\p{L}\p{N}@+().-]*+$"
+JOINT = r"^[ ().-]++$"
 #: Rounds of the bootstrap, damping of pattern scores, least score of a trusted pattern.
 ROUNDS, DAMPING, TRUST = 3, 3.0, 0.5
 #: Least digits of an unseen identifier that has no @, and least length.
@@ -94,15 +99,32 @@ def with_base(docs: DataFrame) -> DataFrame:
     return rows.drop("__one")
 
 
+def with_runs(rows: DataFrame) -> DataFrame:
+    """Adds ``__runs``: ``s, e, m, kind`` of each token or run of neighbouring tokens, in order."""
+    spans = ", ".join(f"transform(__{k}, y -> struct('{k}' AS kind, y.s AS s, y.e AS e))" for k in KINDS)
+    rows = settled(rows, __spans=f"concat({spans})")
+    seed = "get(filter(__spans, y -> y.s < x.e AND x.s < y.e), 0)"
+    rows = settled(rows, __seen=f"transform(__tokens, x -> struct(x.s AS s, x.e AS e, x.m AS m, {seed} AS seed, x.m rlike r'{GOES_ON}' AS left, x.m rlike r'{FOLLOWS}' AS right))")
+    last = "__seen[i - 1]"
+    between = f"substring(__t, cast({last}.e AS int) + 1, cast(x.s - {last}.e AS int))"
+    joined = (
+        f"CASE WHEN i = 0 THEN false WHEN x.seed IS NOT NULL OR {last}.seed IS NOT NULL THEN coalesce(x.seed = {last}.seed, false)"
+        f" ELSE {last}.left AND x.right AND {between} rlike r'{JOINT}' END"
+    )
+    rows = settled(rows, __begin=f"array_compact(transform(__seen, (x, i) -> CASE WHEN NOT ({joined}) THEN i END))")
+    rows = settled(rows, __ends="transform(__begin, (p, k) -> struct(p AS p, coalesce(get(__begin, k + 1), size(__seen)) - 1 AS q))")
+    whole = "CASE WHEN x.p = x.q THEN __seen[x.p].m ELSE substring(__t, cast(__seen[x.p].s AS int) + 1, cast(__seen[x.q].e - __seen[x.p].s AS int)) END"
+    return settled(rows, __runs=f"transform(__ends, x -> struct(__seen[x.p].s AS s, __seen[x.q].e AS e, {whole} AS m, __seen[x.p].seed.kind AS kind))")
+
+
 def candidates(based: DataFrame) -> DataFrame:
-    """One row for each identifier-like token: ``doc_id, key, s, e, token, kind, patterns``; ``kind`` is that of the seed it overlaps."""
-    rows = with_matches(based, "tokens", TOKEN, "__t", "__digit OR contains(__t, '@')")
+    """One row for each identifier-like token or run: ``doc_id, key, s, e, token, kind, patterns``; ``kind`` is that of the seed it overlaps."""
+    rows = with_runs(with_matches(based, "tokens", TOKEN, "__t", "__digit OR contains(__t, '@')"))
     blanks = "'" + "".join(f"\\u{ord(c):04x}" for c in BLANKS) + "'"
     gap = rf"trim(translate(substring(__t, greatest(x.s - 64, 0) + 1, least(x.s, 64)), {blanks}, '      '))"
     after = rf"trim(translate(substring(__t, x.e + 1, 64), {blanks}, '      '))"
-    seeds = " ".join(f"WHEN exists(__{k}, y -> y.s < x.e AND x.s < y.e) THEN '{k}'" for k in KINDS)
-    each = f"struct(x.s AS s, x.e AS e, x.m AS token, CASE {seeds} END AS kind, lower({gap}) AS before, lower({after}) AS behind)"
-    rows = settled(rows, __c=f"transform(__tokens, x -> {each})")
+    each = f"struct(x.s AS s, x.e AS e, x.m AS token, x.kind AS kind, lower({gap}) AS before, lower({after}) AS behind)"
+    rows = settled(rows, __c=f"transform(__runs, x -> {each})")
     flat = rows.select("doc_id", F.expr("xxhash64(__t)").alias("key"), F.explode_outer("__c").alias("x")).where("x IS NOT NULL")
     two, one = "substring_index(x.before, ' ', -2)", "substring_index(x.before, ' ', -1)"
     follow = "substring_index(x.behind, ' ', 1)"

@@ -71,6 +71,29 @@ def test_personal_context(spark):
     assert all("@" not in masked[i].text and masked[i].n_chars == len(masked[i].text) for i in range(12))
 
 
+def test_personal_context_of_several_tokens(spark):
+    known = [(i, f"{prose(i, 30)} please call me at +1 (651) 555-8{i:03} today {prose(50 + i, 30)}") for i in range(12)]
+    known += [(50 + i, f"{prose(i, 30)} paid by card 4111 1111 1111 1111 and {prose(80 + i, 30)}") for i in range(12)]
+    planted = {
+        100: ("x_phone", "please call me at", "017 555 7713", "today"), 101: ("x_phone", "please call me at", "1 (017) 555-7713", "today"),
+        102: ("x_card", "paid by card", "4111 1111 1111 1112", "and"), 103: ("x_card", "paid by card", "4111 - 1111 - 1111 - 1112,", "and"),
+        104: (None, "room", "017 555 7713", "is"), 105: (None, "please call me at", "12", "today"),
+    }
+    docs = table(spark, known + [(i, f"{prose(i, 9)} é {a} {x} {b} {prose(200 + i, 9)}") for i, (_, a, x, b) in planted.items()])
+    texts = dict(pairs(docs))
+    found = pii.find(docs)
+    assert no_python(found)
+    rows = {r.doc_id: [(x.kind, texts[r.doc_id][x.s : x.e]) for x in r.more or []] for r in found.collect()}
+    assert rows == {i: [planted[i][::2]] if i in planted and planted[i][0] else [] for i in texts}
+    masked = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert masked[102] == texts[102].replace(planted[102][2], "<CARD>") and masked[101] == texts[101].replace(planted[101][2], "<PHONE>")
+    # a base span and a number beside it do not mix, nor do numbers of two lines
+    cut = pii.candidates(pii.with_base(table(spark, [(1, "to 10.0.0.1 555 7713\n12 34 or x9 5 a@b.cc 77")])))
+    assert sorted((r.s, r.token, r.kind) for r in cut.collect()) == [
+        (3, "10.0.0.1", "ip"), (12, "555 7713", None), (21, "12 34", None), (30, "x9", None), (33, "5", None), (35, "a@b.cc", "email"), (42, "77", None),
+    ]
+
+
 def test_masks_overlapping_spans(spark):
     docs = table(spark, [(1, "x +1 10.20.30.40 y"), (2, None)])
     rows = {r.doc_id: r.text for r in pii.masked(docs).collect()}
