@@ -13,8 +13,9 @@ only at what the pass before left undecided.
 * Last digit, for anchors with different covers only: each window itself.
 
 Tasks decide equal bundles among their own rows before anything is shuffled, so text that
-a third of all rows share leaves a task once. Anchors that hold a large part of all
-different covers are salted and decided in two steps. A window is removed unless it is the first of its group
+a third of all rows share leaves a task once. Anchors with many different covers are
+salted and decided in two steps; an anchor gets as many salts as keep each part of it
+within ``PART_MOST`` covers, so no part grows with the input. A window is removed unless it is the first of its group
 by (doc_id, start); what is removed of a text is the union of its removed windows.
 
 Defined cases: a null or empty text has no bytes; texts shorter than ``LENGTH`` repeat
@@ -41,7 +42,9 @@ LENGTH, DIGIT = 100, 32
 #: Bytes of text worked on at once, bundles a task gathers before it passes them on.
 PIECE, GATHER = 1 << 21, 1_500_000
 #: An anchor with more different covers than this, and than this part of all of them, is salted.
-HOT_LEAST, HOT_PART, SALTS = 1000, 64, 64
+HOT_LEAST, HOT_PART = 1000, 64
+#: Covers of one anchor that stay together at most, whatever the part above is.
+PART_MOST = 20_000
 #: Bytes whose windows are bundled at once.
 STRETCH = 1 << 21
 _PLACE = np.uint64((1 << 22) - 1)
@@ -217,6 +220,13 @@ def numbered(docs: DataFrame) -> DataFrame:
     return held.join(F.broadcast(bases), "part").selectExpr("doc_id", "text", "base + (at & ((1L << 33) - 1)) AS doc")
 
 
+def salted(undecided: DataFrame, total: int) -> DataFrame:
+    """``anchor, salts`` of the anchors that are dealt over several groups, by their count."""
+    most = min(PART_MOST, max(HOT_LEAST, total // HOT_PART))
+    counts = undecided.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(f"n > {most}")
+    return counts.select("anchor", F.expr(f"(n + {most - 1}) div {most}").alias("salts"))
+
+
 def removed_runs(rows: DataFrame) -> DataFrame:
     """``doc, lo, hi``: runs of windows that repeat an earlier one; runs may overlap. ``rows`` has ``doc`` and ``text``."""
     found = rows.select("doc", "text").mapInArrow(first_digit, BUNDLES)
@@ -229,12 +239,10 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     by_doc = undecided.groupBy("doc").agg(F.collect_list(F.struct("anchor", "bundle")).alias("open"))
     covers = rows.select("doc", "text").join(by_doc, "doc").mapInArrow(cut_out, "anchor long, doc long, bundle long, bytes binary")
     total = undecided.count()
-    hot = max(HOT_LEAST, total // HOT_PART)
-    many = undecided.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(f"n > {hot}").select("anchor", F.lit(True).alias("hot"))
-    marked = sized_join(covers, many, ["anchor"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    marked = sized_join(covers, salted(undecided, total), ["anchor"], "left").withColumn("hot", F.expr("salts IS NOT NULL"))
     # groups of anchors that share a task; a salted anchor is in several of them
     n_groups = 16 + total // 20_000
-    marked = marked.withColumn("g", F.expr(f"pmod(xxhash64(anchor, CASE WHEN hot THEN pmod(xxhash64(doc, bundle), {SALTS}) ELSE 0 END), {n_groups})"))
+    marked = marked.withColumn("g", F.expr(f"pmod(xxhash64(anchor, CASE WHEN hot THEN pmod(xxhash64(doc, bundle), salts) ELSE 0 END), {n_groups})"))
     windows = stage(marked.groupBy("g").applyInArrow(last_digit, WINDOWS), "windows")
     again = windows.where("open").withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("doc", "lo"))).where("r > 1")
     return whole.unionByName(windows.where("NOT open").select("doc", "lo", "hi")).unionByName(again.select("doc", "lo", "hi"))

@@ -96,6 +96,14 @@ def test_repeated_bytes(spark, odd, none, hot, monkeypatch):
     assert removed(none) == []
 
 
+def test_repeated_bytes_salts_follow_the_count(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "PART_MOST", 50)
+    anchors = spark.createDataFrame([(a,) for a, n in ((1, 120), (2, 51), (3, 50), (4, 1)) for _ in range(n)], "anchor long")
+    # also of an input whose 64th is far above the bound
+    for total, expected in ((64 * 10**6, {1: 3, 2: 2}), (222, {1: 3, 2: 2})):
+        assert {r.anchor: r.salts for r in repeats.salted(anchors, total).collect()} == expected
+
+
 def test_language_model(spark, odd, none, small):
     docs = odd.unionByName(small).withColumn("held_out", F.lit("mine"))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
