@@ -3,9 +3,9 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
-SF = "/root/testdata/sf0.001"
+from support import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,9 +25,3 @@ def tables(spark):
     from gable.plans.warehouse import warehouse
 
     return warehouse(spark, SF)
-
-
-def rows(frame, *columns):
-    """Rows as a sorted list of tuples, nulls last."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from conftest import rows
+from support import rows
 from gable.operators import dedup, groups, joins, ordered, quality, series, shape
 from gable.plans import silver
 from gable.runtime import attach
@@ -245,7 +245,7 @@ def test_keys_and_violations(spark):
 
 
 def test_dedup_chain_does_not_depend_on_partitions(spark):
-    from conftest import SF
+    from support import SF
     from gable.plans.adapter import listings
 
     base = listings(spark, SF)

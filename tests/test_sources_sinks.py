@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, rows
+from support import SF, rows
 from gable.plans import silver, vocab
 from gable.runtime import scratch_path
 from gable.sources import readers, sinks

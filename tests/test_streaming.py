@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from support import rows
 from gable.sources import readers
 from gable.streaming import bronze
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, rows
+from support import SF, rows
 from gable.operators import joins
 from gable.plans import hotspot_model
 from gable.plans.questions import QUESTIONS
