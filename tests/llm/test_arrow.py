@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import pairs, prose, table
+from llm_support import pairs, prose, table
 from pyspark.sql import functions as F
 
 import corpus_pipeline

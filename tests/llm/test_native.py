@@ -6,7 +6,7 @@ from itertools import combinations
 
 import brute
 import pytest
-from conftest import pairs, prose, table
+from llm_support import pairs, prose, table
 from pyspark.sql import functions as F
 
 from gable.llm import chat, decontaminate, pii, quality_rules
