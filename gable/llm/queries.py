@@ -6,6 +6,7 @@ from gable.llm.chat import op6_chat_windows
 from gable.llm.decontaminate import op1_decontaminate
 from gable.llm.jaccard_join import op9_jaccard_join
 from gable.llm.language_model import op7_language_model
+from gable.llm.packing import op11_pack_sequences
 from gable.llm.pii import op3_pii
 from gable.llm.quality_classifier import op2_quality_classifier
 from gable.llm.quality_rules import op8_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     for f in (
         op1_decontaminate, op2_quality_classifier, op3_pii, op4_token_records, op5_sentencepiece,
         op6_chat_windows, op7_language_model, op8_quality_rules, op9_jaccard_join, op10_repeated_bytes,
+        op11_pack_sequences,
     )
 }
 
