@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gable.llm.chat import op6_chat_windows
 from gable.llm.decontaminate import op1_decontaminate
+from gable.llm.divergence import OP12_SQL, op12_source_divergence
 from gable.llm.jaccard_join import op9_jaccard_join
 from gable.llm.language_model import op7_language_model
 from gable.llm.packing import op11_pack_sequences
@@ -19,9 +20,9 @@ QUERIES = {
     for f in (
         op1_decontaminate, op2_quality_classifier, op3_pii, op4_token_records, op5_sentencepiece,
         op6_chat_windows, op7_language_model, op8_quality_rules, op9_jaccard_join, op10_repeated_bytes,
-        op11_pack_sequences,
+        op11_pack_sequences, op12_source_divergence,
     )
 }
 
-#: Nothing yet; see the tests for the comparisons with brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: Of those that SQL can express; see the tests for the comparisons of the others with brute force.
+ORACLE_SQL: dict[str, str] = {"op12_source_divergence": OP12_SQL}
