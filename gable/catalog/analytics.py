@@ -303,7 +303,7 @@ def _(spark, folder):
     located = t["silver_listings"].filter((F.col("price") > 0) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     near = joins.nearest(
         located.select(*gold.LISTING_ID, "area_name", "ward_name", "latitude", "longitude"), t["dim_metro_station"],
-        ["area_name", "ward_name"], "station_id", distance="distance_to_metro_m", chunk=4,
+        ["area_name", "ward_name"], "station_id", distance="distance_to_metro_m",
     )
     return near.select("ad_id", "list_id", "station_id", "distance_to_metro_m")
 

@@ -1,5 +1,6 @@
 """Operators: small and large paths agree, skew and partitioning do not change results."""
 
+import math
 import random
 
 import pytest
@@ -169,6 +170,66 @@ def test_nearest_keeps_repeated_rows_of_crowded_buckets(spark, chunk):
     assert rows(near, "latitude", "pid") == [(0.0, 0), (1.0, None), (3.33, 33), (3.33, 33), (59.96, 599), (60.0, 600)]
 
 
+def _plain_nearest(left, points):
+    """Compares every row with every point of its bucket."""
+    out = {}
+    for ident, ward, north, east in left:
+        found = []
+        for pid, bucket, a, b in points:
+            if bucket == ward and None not in (north, east, a, b) and not math.isnan(north):
+                y, x = (north - a) * 111000, (east - b) * 111000 * math.cos(north * (3.14159 / 180))
+                found.append((math.floor(math.sqrt(y * y + x * x) + 0.5), pid))
+        out[ident] = min(found)[::-1] if found else (None, None)
+    return out
+
+
+def _counted_cells(monkeypatch):
+    """Point pairs that the grid search compares, one number for each round."""
+    pairs, plain = [], joins.cells_around
+
+    def spy(*args, **kwargs):
+        frame = plain(*args, **kwargs)
+        pairs.append(frame.agg(F.coalesce(F.sum(F.size("__points")), F.lit(0))).first()[0])
+        return frame
+
+    monkeypatch.setattr(joins, "cells_around", spy)
+    return pairs
+
+
+POINTS = "pid long, ward string, latitude double, longitude double"
+PLACES = "id long, ward string, latitude double, longitude double"
+
+
+@pytest.mark.parametrize("chunk", [8, 64])
+def test_nearest_compares_a_tenth_of_all_pairs(spark, monkeypatch, chunk):
+    rng = random.Random(1)
+    points = [(i, rng.choice("ab") if i % 5 else "few", rng.gauss(10, 0.05), rng.gauss(20, 0.05)) for i in range(2500)]
+    points += [(9000 + i, "a", 10.0, 20.0) for i in range(600)] + [(9990, "b", 0.0, 0.0), (9991, "b", None, 1.0)]
+    left = [(i, rng.choice(["a", "b", "few"]), rng.gauss(10, 0.06), rng.gauss(20, 0.06)) for i in range(500)]
+    left += [(900, "a", 0.0, 0.0), (901, "b", 50.0, -20.0), (902, "a", 10.0, 20.0), (903, "b", 10.0, 20.0), (904, "a", None, 2.0)]
+    left += [(905, "a", float("nan"), 2.0), (906, None, 1.0, 2.0), (907, "none", 1.0, 2.0)]
+    pairs = _counted_cells(monkeypatch)
+    near = joins.nearest(spark.createDataFrame(left, PLACES), spark.createDataFrame(points, POINTS), ["ward"], "pid", chunk=chunk)
+    assert {r.id: (r.pid, r.distance_m) for r in near.collect()} == _plain_nearest(left, points)
+    every = sum(1 for _, ward, *_ in left for _, bucket, *_ in points if ward == bucket)
+    assert len(pairs) > 1 and 0 < sum(pairs) < every / 10
+
+
+def test_nearest_is_exact_at_cell_borders(spark):
+    # points and places on the lines of a lattice, so many are on borders and at equal distances
+    points = [(y * 40 + x, "w", y / 8, x / 8) for y in range(40) for x in range(40)]
+    left = [(y * 81 + x, "w", y / 16, x / 16) for y in range(0, 81, 4) for x in range(81)]
+    near = joins.nearest(spark.createDataFrame(left, PLACES), spark.createDataFrame(points, POINTS), ["ward"], "pid", chunk=16)
+    assert {r.id: (r.pid, r.distance_m) for r in near.collect()} == _plain_nearest(left, points)
+
+
+def test_nearest_with_points_at_one_place(spark):
+    points = [(i, "w", 1.0, 2.0) for i in range(1500)] + [(i, "line", 3.0, i / 100) for i in range(100)]
+    left = [(1, "w", 1.0, 2.0), (2, "w", 7.0, 7.0), (3, "line", 3.0, 0.254), (4, "line", 9.0, 0.506)]
+    near = joins.nearest(spark.createDataFrame(left, PLACES), spark.createDataFrame(points, POINTS), ["ward"], "pid", chunk=8)
+    assert {r.id: (r.pid, r.distance_m) for r in near.collect()} == _plain_nearest(left, points)
+
+
 def test_month_over_month_gap_and_year_wrap(spark):
     months = spark.createDataFrame(
         [("x", 202512, 202511, 5), ("x", 202601, 202512, 8), ("x", 202603, 202602, 9)], "k string, m int, p int, n long"
