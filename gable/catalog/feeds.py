@@ -8,9 +8,10 @@ from gable.catalog.registry import query
 from gable.operators import dedup, shape
 from gable.plans import gold, silver, vocab
 from gable.plans.adapter import listings, stations, table, trends
-from gable.runtime import scratch_path
+from gable.runtime import scratch_path, stage
 from gable.sources import readers, sinks
 from gable.streaming import bronze
+from gable.streaming.ledger import IdLedger
 
 ID = ["list_id", "ad_id"]
 RECORD_SCHEMA = """record_id STRING, source STRING, crawled_at BIGINT, ingested_at BIGINT,
@@ -533,6 +534,17 @@ def _(spark, folder):
     return shape.union_by_name(*parts)
 
 
+@query("ledger_stored_ids", "SELECT DISTINCT snapshot_date AS date, CAST(list_id AS VARCHAR) AS record_id FROM listings")
+def _(spark, folder):
+    # Every id comes in batches that share some; folded twice, so dates have several files and buckets.
+    ids = listings(spark, folder).select(F.col("snapshot_date").alias("date"), F.col("list_id").cast("string").alias("record_id"))
+    ids = stage(ids.withColumn("batch", F.pmod(F.xxhash64("record_id", "date"), F.lit(5))), "ledger-ids")
+    ledger = IdLedger(spark, scratch_path(spark, "ledger"), bucket_ids=500, max_recent=2, max_files=2)
+    for n in range(5):
+        ledger.add(ids.where(F.col("batch").isin(n, (n + 1) % 5)))
+    return ledger.may_hold(ids).distinct()
+
+
 @query(
     "overview_tumbling",
     """SELECT CAST(ts AS DATE) AS snapshot_date, CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT user_id) AS BIGINT) AS unique_seller_count, avg(value) AS value_avg FROM events GROUP BY 1""",

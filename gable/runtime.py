@@ -100,11 +100,12 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for folder in scopes.pop():
-            system, path = _file_system(spark, folder)
+            system, path = file_system(spark, folder)
             system.delete(path, True)
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """Hadoop file system of a folder, and the folder as its path."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
@@ -114,7 +115,7 @@ def staged_bytes(staged: DataFrame) -> int:
     folder = staged.__dict__.get("_staged_path")
     if folder is None:
         return 0
-    system, path = _file_system(staged.sparkSession, folder)
+    system, path = file_system(staged.sparkSession, folder)
     return system.getContentSummary(path).getLength()
 
 
@@ -143,7 +144,7 @@ def zip_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 def release_staged(spark: SparkSession) -> None:
     """Delete everything this application staged. Call it when its results are stored."""
-    system, path = _file_system(spark, f"{shared_dir(spark)}/gable-{spark.sparkContext.applicationId}")
+    system, path = file_system(spark, f"{shared_dir(spark)}/gable-{spark.sparkContext.applicationId}")
     system.delete(path, True)
 
 

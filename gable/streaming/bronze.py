@@ -1,7 +1,7 @@
 """Streams of listing records into the bronze layer.
 
 The writer needs no state store: each micro-batch is reduced to one row per
-(date, id) and compared with the ids already stored for its dates, so late and
+(date, id) and compared with a ledger of the ids stored so far, so late and
 out-of-order rows are never dropped and a replayed batch adds nothing.
 :func:`dedup_stream` is the stateful alternative for rows that arrive in order.
 """
@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gable.functions import dates, text
-from gable.operators import dedup
-from gable.runtime import fits_broadcast, stage, temporary
+from gable.runtime import file_system, fits_broadcast, stage, temporary
 from gable.sources.readers import read_jsonl_glob
 from gable.sources.sinks import write_jsonl
+from gable.streaming.ledger import IdLedger
 
 ZONE = "Asia/Ho_Chi_Minh"
 
@@ -57,12 +57,22 @@ def enrich(records: DataFrame, defaults: Mapping[str, str], *, ingestion_type: s
     return records.withColumns({**filled, **stamped})
 
 
-def drop_repeated(batch: DataFrame, stamp: str = "crawled_at") -> DataFrame:
-    """One row per (date, record_id) of a batch; rows without an id all stay."""
-    order = [F.col(stamp).asc_nulls_last()] if stamp in batch.columns else []
-    ties = [F.xxhash64(*[F.col(c) for c, kind in batch.dtypes if "map<" not in kind]).asc()]
-    known = dedup.latest_by(batch.filter(F.col("record_id").isNotNull()), ["date", "record_id"], [*order, *ties])
-    return known.unionByName(batch.filter(F.col("record_id").isNull()))
+def numbered(batch: DataFrame) -> DataFrame:
+    """Adds ``__row``, to name a row, and ``__tie``, a hash of its content."""
+    content = [F.col(c) for c, kind in batch.dtypes if "map<" not in kind]
+    return batch.withColumns({"__row": F.monotonically_increasing_id(), "__tie": F.xxhash64(*content)})
+
+
+def repeats(rows: DataFrame, stamp: str = "crawled_at") -> DataFrame:
+    """``date, record_id, __row, __rank`` of numbered rows with an id; all but rank 1 of a (date, id) repeat it.
+
+    The earliest stamp is first. Only these columns are read and shuffled, however wide the records are.
+    """
+    stamps = [F.col(stamp).alias("__stamp")] if stamp in rows.columns else []
+    narrow = rows.where(F.col("record_id").isNotNull()).select("date", "record_id", "__row", "__tie", *stamps)
+    order = [*[F.col("__stamp").asc_nulls_last() for _ in stamps], F.col("__tie"), F.col("__row")]
+    ranked = narrow.withColumn("__rank", F.row_number().over(Window.partitionBy("date", "record_id").orderBy(*order)))
+    return ranked.select("date", "record_id", "__row", "__rank")
 
 
 #: Folder of the ids written so far, hidden from readers of the records.
@@ -77,66 +87,71 @@ def append_batch(
     late: str | None = None,
     horizon_days: int = 1,
     verify: bool = True,
+    ledger: IdLedger | None = None,
 ) -> None:
     """Write the rows of one micro-batch that are not stored yet.
 
-    Stored ids are read from a columnar ledger below ``target``, for the dates
-    of the batch only. The ledger is written after the records, so a crash in
+    Stored ids are read from a ledger below ``target``: of the dates of the batch, the
+    buckets its ids fall into. The ledger is written after the records, so a crash in
     between leaves it short; with ``verify`` the records of those dates are
     read as well. With ``late`` set, rows of dates more than ``horizon_days``
     before the newest stored date go to that folder instead. What the batch
     stages is deleted at its end.
     """
+    ledger = ledger or IdLedger(batch.sparkSession, f"{target}/{LEDGER}")
     with temporary(batch.sparkSession):
-        _append_batch(batch, target, max_records, late, horizon_days, verify)
+        _append_batch(batch, target, max_records, late, horizon_days, verify, ledger)
 
 
-def _append_batch(batch: DataFrame, target: str, max_records: int, late: str | None, horizon_days: int, verify: bool) -> None:
+def _append_batch(batch: DataFrame, target: str, max_records: int, late: str | None, horizon_days: int, verify: bool, ledger: IdLedger) -> None:
     spark = batch.sparkSession
-    rows = stage(batch, "micro-batch")
-    touched = [r[0] for r in rows.select(F.col("date").cast("string")).distinct().collect()]
-    fresh = drop_repeated(rows)
-    for stored in _stored_ids(spark, target, late if verify else None, touched, verify):
-        if fits_broadcast(rows):
+    rows = stage(numbered(batch), "micro-batch")
+    ranked = stage(repeats(rows), "ranked")
+    ids = ranked.where("__rank = 1").select("date", "record_id", "__row")
+    out = ranked.where("__rank > 1").select("__row")
+    pair = ["date", "record_id"]
+    for stored in _stored(spark, target, late, ids, verify, ledger):
+        if fits_broadcast(ranked):
             # stored ids are looked at where they lie; only those of the batch move on
-            stored = stored.join(F.broadcast(rows.select("date", "record_id").distinct()), ["date", "record_id"], "left_semi")
-        fresh = fresh.join(stored, ["date", "record_id"], "left_anti")
+            stored = stored.join(F.broadcast(ids.select(*pair)), pair, "left_semi")
+        out = out.unionByName(ids.join(stored, pair, "left_semi").select("__row"))
+    out = stage(out.distinct(), "known")
+    side = F.broadcast(out) if fits_broadcast(out) else out
+    fresh = rows.join(side, "__row", "left_anti").drop("__row", "__tie")
     newest = _newest_date(spark, target) if late else None
-    is_late = F.col("date") < F.date_sub(F.lit(newest).cast("date"), horizon_days) if newest else F.lit(False)
-    fresh = stage(fresh.withColumn("__late", is_late), "fresh")
-    write_jsonl(fresh.filter(~F.col("__late")).drop("__late"), target, max_records=max_records)
     if newest:
-        write_jsonl(fresh.filter("__late").drop("__late"), late, max_records=max_records)
-    ids = fresh.filter(F.col("record_id").isNotNull()).select("date", "record_id")
-    ids.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(f"{target}/{LEDGER}")
-
-
-def _stored_ids(spark, target: str, late: str | None, days: Sequence[str], verify: bool) -> list[DataFrame]:
-    """(date, record_id) frames stored for the given days; only those folders are read."""
-    frames = []
-    ledger = f"{target}/{LEDGER}"
-    if has_files(spark, ledger):
-        frames.append(spark.read.schema("record_id string, date date").parquet(ledger))
-    for folder in filter(None, (target, late) if verify else ()):
-        if has_files(spark, folder):
-            frames.append(spark.read.schema("record_id string, date date").json(folder))
-    kept = F.col("date").cast("string").isin(*days) & F.col("record_id").isNotNull()
-    return [f.filter(kept).select("date", "record_id") for f in frames]
+        is_late = F.coalesce(F.col("date") < F.date_sub(F.lit(newest).cast("date"), horizon_days), F.lit(False))
+        write_jsonl(fresh.filter(is_late), late, max_records=max_records)
+        fresh = fresh.filter(~is_late)
+    write_jsonl(fresh, target, max_records=max_records)
+    ledger.add(ids.join(side, "__row", "left_anti"))
+
+
+def _stored(spark, target: str, late: str | None, ids: DataFrame, verify: bool, ledger: IdLedger) -> list[DataFrame]:
+    """(date, record_id) frames that hold every stored pair of ``ids``."""
+    known = ledger.may_hold(ids)
+    frames = [known] if known is not None else []
+    if verify:
+        days = [r[0] for r in ids.select(F.col("date").cast("string")).distinct().collect()]
+        kept = F.col("date").cast("string").isin(*days) & F.col("record_id").isNotNull()
+        for folder in filter(None, (target, late)):
+            if has_files(spark, folder):
+                frames.append(spark.read.schema("record_id string, date date").json(folder).filter(kept).select("date", "record_id"))
+    return frames
 
 
 def has_files(spark, folder: str) -> bool:
     """True when the folder exists."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    system, path = file_system(spark, folder)
+    return system.exists(path)
 
 
 def _newest_date(spark, folder: str) -> str | None:
     """Newest ``date=`` folder; a listing, no data is read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    system, path = file_system(spark, folder)
+    if not system.exists(path):
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    names = [s.getPath().getName() for s in system.listStatus(path)]
     days = [n.removeprefix("date=") for n in names if n.startswith("date=")]
     return max(days, default=None)
 

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 from support import rows
 from gable.sources import readers
 from gable.streaming import bronze
+from gable.streaming.ledger import IdLedger
 
 SCHEMA = "record_id STRING, id STRING, crawled_at BIGINT, list STRUCT<list_id: BIGINT>, detail STRUCT<ad_id: BIGINT>"
 DAY = 86_400_000
@@ -125,3 +126,83 @@ def test_stateful_dedup_keeps_rows_without_id(spark, tmp_path):
     counted = got.groupBy("record_id").count()
     per_id = {r["record_id"]: r["count"] for r in counted.collect()}
     assert per_id[None] == 29 and all(per_id[f"u{i}"] == 6 for i in range(1, 5))
+
+
+def _batch(spark, ids, day="2024-01-01"):
+    return spark.createDataFrame([(str(i),) for i in ids], "record_id string").withColumn("date", F.lit(day).cast("date"))
+
+
+def _pairs(frame):
+    return [] if frame is None else sorted({(str(r.date), r.record_id) for r in frame.collect()})
+
+
+def test_ledger_bounds_files_and_bytes_over_many_batches(spark, tmp_path):
+    ledger = IdLedger(spark, str(tmp_path / "ids"), bucket_ids=100, max_recent=4, max_files=3)
+    sizes = []
+    for n in range(50):
+        batch = _batch(spark, range(n * 40, n * 40 + 60)).coalesce(1)  # 20 of them are in the next batch too
+        if n % 7 == 0:
+            read, held = set(ledger.buckets_of(_batch(spark, [n * 40]))), ledger.dates(["2024-01-01"])["2024-01-01"]
+            sizes.append((sum(b.size for b in held if b.path in read), sum(b.size for b in held)))
+        ledger.add(batch)
+        assert len(ledger.recent()) <= 4
+        assert all(b.files <= 3 for b in ledger.dates(["2024-01-01"])["2024-01-01"])
+    held = ledger.dates(["2024-01-01"])["2024-01-01"]
+    assert len({b.generation for b in held}) == 1 and {b.of for b in held} == {32} and len(held) <= 32
+    # what one id reads does not grow with the ids of its date
+    assert all(a <= 10_000 for a, _ in sizes) and sizes[-1][0] < sizes[-1][1] / 10
+    everything = _batch(spark, range(49 * 40 + 60))
+    assert _pairs(ledger.may_hold(everything)) == sorted(("2024-01-01", str(i)) for i in range(49 * 40 + 60))
+
+
+def test_ledger_reads_only_dates_and_buckets_of_the_batch(spark, tmp_path):
+    ledger = IdLedger(spark, str(tmp_path / "ids"), bucket_ids=10, max_recent=0)
+    for day in ("2024-01-01", "2024-01-02"):
+        ledger.add(_batch(spark, range(80), day))
+    assert not ledger.recent()
+    one = _batch(spark, [5])
+    assert len(ledger.buckets_of(one)) == 1 and "date=2024-01-01" in ledger.buckets_of(one)[0]
+    assert ("2024-01-01", "5") in _pairs(ledger.may_hold(one))
+    assert ledger.buckets_of(_batch(spark, [5], "2024-03-01")) == []
+    assert ledger.may_hold(_batch(spark, [None])) is None or _pairs(ledger.may_hold(one.limit(0))) == []
+
+
+def test_ledger_survives_a_crash_within_maintenance(spark, tmp_path, monkeypatch):
+    ledger = IdLedger(spark, str(tmp_path / "ids"), bucket_ids=20, max_recent=1, max_files=1)
+    ledger.add(_batch(spark, range(10)))
+    ledger.add(_batch(spark, range(10, 20)))  # folded
+    ledger.add(_batch(spark, range(15, 60)))
+    from gable.streaming import ledger as module
+
+    def broken(spark, path):  # the new files are written, nothing old is deleted
+        system, at = real(spark, path)
+        if broken.armed and "/recent/" in path:
+            raise OSError("lost")
+        return system, at
+
+    real, broken.armed = module.file_system, True
+    monkeypatch.setattr(module, "file_system", broken)
+    try:
+        ledger.fold()
+    except OSError:
+        pass
+    broken.armed = False
+    want = [("2024-01-01", str(i)) for i in range(60)]
+    assert _pairs(ledger.may_hold(_batch(spark, range(60)))) == sorted(want)
+    ledger.fold()
+    held = ledger.dates(["2024-01-01"])["2024-01-01"]
+    assert not ledger.recent() and len({b.generation for b in held}) == 1 and {b.of for b in held} <= {4, 8}
+    assert _pairs(ledger.may_hold(_batch(spark, range(60)))) == sorted(want)
+
+
+def test_batches_with_a_small_ledger_store_every_id_once(spark, tmp_path):
+    target = str(tmp_path / "out")
+    ledger = IdLedger(spark, f"{target}/{bronze.LEDGER}", bucket_ids=8, max_recent=1, max_files=2)
+    for n in range(6):
+        batch = spark.createDataFrame([(str(i % 40), i) for i in range(n * 9, n * 9 + 15)] + [(None, n)], "record_id string, crawled_at long")
+        batch = batch.withColumn("date", F.expr("date_add(DATE '2024-01-01', CAST(crawled_at % 2 AS INT))"))
+        for _ in range(2):  # a batch may be delivered again
+            bronze.append_batch(batch, target, ledger=ledger, verify=False)
+    stored = _stored(spark, target)
+    ids = rows(stored.where("record_id IS NOT NULL").select(F.col("date").cast("string"), "record_id"))
+    assert ids == sorted({(f"2024-01-0{1 + i % 2}", str(i % 40)) for n in range(6) for i in range(n * 9, n * 9 + 15)})
