@@ -12,8 +12,8 @@ the order of their ranges hold ascending ids. Text moves through one shuffle; to
 never do. Files are finished under a private name and then moved, so a lost attempt leaves
 no half file, and the order within a partition is total, so a repeated one writes the same.
 
-Encoding: white space only separates words in this tokenizer, so each distinct word of a
-batch is encoded once and the ids of texts are gathered from those of their words.
+Encoding: texts are cut where the tokenizer's pattern always ends a match, each distinct
+piece of a batch is encoded once, and the ids of texts are gathered from those of their pieces.
 
 Defined cases: a null or empty text is the end id alone; rows without ``doc_id`` come
 first; repeated rows give repeated records; an empty table gives an empty index; other
@@ -24,14 +24,13 @@ from __future__ import annotations
 
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gable.llm.byte_pieces import BLANK, DIGIT, KIND, LETTER, MARK, QUOTE, SPACE, PieceEncoder, encoder
 from gable.llm.common import read, texts
 from gable.llm.files import mapped, place
 from gable.llm.tokens import pieces
@@ -41,8 +40,6 @@ from gable.runtime import scratch_path, stage
 MASK_DELTA = 0xA282EAD8
 #: Id that closes each document.
 END_ID = 1
-#: Words a worker remembers the ids of.
-REMEMBERED = 600_000
 
 _HEAD = struct.Struct("<QI")
 _DOC = struct.Struct("<qBB")
@@ -80,46 +77,58 @@ def unframe(file: np.ndarray, offset: int) -> bytes:
     return payload
 
 
-class WordEncoder:
-    """Ids of texts by a tokenizer for which white space only separates words."""
+class WordEncoder(PieceEncoder):
+    """Tokenizers that fold case, drop white space and split off words, digits and runs of marks.
 
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+    Texts are cut where the pattern always ends a match, A to Z folded before; only what
+    stands beside characters that are no plain ASCII stays together, so that the normaliser
+    sees it whole. A run of letters goes straight to the model, all else through the tokenizer.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, list[int]] = {}
+    def is_known(self, made: dict) -> bool:
+        steps = (made["normalizer"] or {}).get("normalizers") or []
+        split = (made["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        known = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+        known = known and [s.get("type") for s in split] == ["Split", "ByteLevel"] and split[0]["pattern"] == {"Regex": PATTERN}
+        known = known and (split[0]["behavior"], split[0]["invert"], split[1]["add_prefix_space"], split[1]["use_regex"]) == ("Removed", True, False, False)
+        return known and made["post_processor"] is None and made["model"]["type"] == "BPE" and not made["model"]["dropout"]
 
-    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and how many each text has."""
-        parts = pc.ascii_split_whitespace(column.fill_null("").cast(pa.large_string()))
-        bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        coded = parts.flatten().dictionary_encode()
-        distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        unknown = [w for w in distinct if w not in self.known]
-        for lo in range(0, len(unknown), 20_000):
-            some = unknown[lo : lo + 20_000]
-            self.known.update((w, e.ids) for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True))
-        each = [self.known[w] for w in distinct]
-        sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-        table = np.fromiter(chain.from_iterable(each), dtype=np.uint32, count=int(sizes.sum()))
-        word_sizes = sizes[which]
-        ends = np.concatenate(([0], np.cumsum(word_sizes)))
-        begins = (np.cumsum(sizes) - sizes)[which]
-        out = table[np.repeat(begins - ends[:-1], word_sizes) + np.arange(ends[-1])]
-        return out, np.diff(ends[bounds])
+    def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        folded = _LOWER[data]
+        kinds = KIND[folded]
+        inside = (kinds != BLANK) & (kinds != SPACE)
+        begins = np.ones(len(data), dtype=bool)
+        begins[1:] = _ENDS[kinds[:-1] * np.uint8(8) + kinds[1:]] | ~inside[:-1]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        for text in self.texts_with_added(folded, offsets):  # whole, in its own case
+            s = slice(offsets[text], offsets[text + 1])
+            folded[s], inside[s], begins[s] = data[s], True, False
+            begins[offsets[text]] = True
+        starts = np.flatnonzero(begins & inside)
+        before = np.concatenate(([0], np.cumsum(inside)))
+        return folded[inside], np.append(before[starts], before[-1]), np.diff(np.searchsorted(starts, offsets))
 
+    def single(self, piece: str) -> str | None:
+        return piece if piece.isascii() and piece.isalpha() and piece.islower() else None
 
-_ENCODERS: dict[str, WordEncoder] = {}
 
+#: Fixed value: the pattern of the tokenizers that ``WordEncoder`` cuts for.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process, with what it remembers."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _between() -> np.ndarray:
+    """True at [a, b] if a match always ends between a byte of kind a and one of kind b."""
+    ends = np.zeros((8, 8), dtype=bool)
+    ends[LETTER, [DIGIT, MARK, QUOTE]] = True
+    ends[DIGIT, [DIGIT, LETTER, MARK, QUOTE]] = True
+    ends[MARK, [LETTER, DIGIT]] = True
+    return ends
+
+
+_ENDS = _between().ravel()
 
 
 INDEX = "path string, part int, row long, offset long, doc_id long, n_tokens long"
@@ -135,17 +144,16 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         name = f"part-{part:05d}.records"
         own = f"{base}/{name}.{TaskContext.get().taskAttemptId()}"
         stream, offset, row, out = None, 0, 0, []
-        enc = encoder(tokenizer)
-        dtype = np.dtype(f"<u{enc.width}")
+        enc = encoder(tokenizer, WordEncoder)
         for batch in pieces(batches):
             if stream is None:
                 stream = store.open_output_stream(own)
             ids, counts = enc.ids(batch.column("text"))
             stops = np.cumsum(counts)
-            data = np.insert(ids, stops, END_ID).astype(dtype)
+            data = np.insert(ids, stops, END_ID)
             stops = np.concatenate(([0], stops + np.arange(1, len(stops) + 1)))
             for doc, lo, hi in zip(batch.column("doc_id").to_pylist(), stops[:-1].tolist(), stops[1:].tolist(), strict=True):
-                record = document(doc, enc.width, data[lo:hi].tobytes())
+                record = document(doc, enc.dtype.itemsize, data[lo:hi].tobytes())
                 stream.write(record)
                 out.append((row, offset, doc, hi - lo))
                 offset, row = offset + len(record), row + 1
