@@ -148,23 +148,29 @@ def pivot_measures(df: DataFrame, ids: Sequence[str], column: str, values: Seque
     return df.groupBy(*ids).pivot(column, list(values)).agg(measure)
 
 
-def one_hot(df: DataFrame, column: str, rule: Callable[[str], str], prefix: str = "cat_", max_labels: int = 500, labels_from: DataFrame | None = None) -> DataFrame:
+def one_hot(
+    df: DataFrame, column: str, rule: Callable[[str], str], prefix: str = "cat_", labels: Sequence[str] | None = None, labels_from: DataFrame | None = None
+) -> DataFrame:
     """One 0/1 column per distinct label, in label order; labels that ``rule`` names alike share one.
 
-    Column names come from the data, so the labels are read first. Beyond
-    ``max_labels``, more columns than a table should have, the flags go into
-    one map column ``<prefix>flags`` from label to 1. ``labels_from`` may name a
-    cheaper frame that holds all labels of ``df``.
+    Column names come from the data, so the labels are read first; ``labels_from`` may name a
+    cheaper frame that holds all labels of ``df``. Where labels are many or open-ended, ``labels``
+    names those that get columns, found or not, and every other one is a key of the map
+    ``<prefix>other``, which is always there and empty for rows of the named labels. Neither form
+    depends on how many labels the data has.
     """
-    source = df if labels_from is None else labels_from
-    found = source.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_labels + 1).collect()
-    if len(found) > max_labels:
-        flags = F.when(F.col(column).isNotNull(), F.create_map(F.col(column), F.lit(1)))
-        return df.withColumn(f"{prefix}flags", flags)
+    wanted = labels
+    if wanted is None:
+        source = df if labels_from is None else labels_from
+        wanted = [row[0] for row in source.select(column).filter(F.col(column).isNotNull()).distinct().collect()]
     groups: dict[str, list[str]] = {}
-    for label in sorted(row[0] for row in found):
+    for label in sorted(set(wanted)):
         groups.setdefault(prefix + rule(label), []).append(label)
-    return df.withColumns({name: F.when(F.col(column).isin(labels), 1).otherwise(0).cast("int") for name, labels in groups.items()})
+    flags = {name: F.when(F.col(column).isin(same), 1).otherwise(0).cast("int") for name, same in groups.items()}
+    if labels is not None:
+        other = F.col(column).isNotNull() & ~F.col(column).isin(*labels)
+        flags[f"{prefix}other"] = F.map_filter(F.create_map(F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(1)), lambda _, v: other & v.isNotNull())
+    return df.withColumns(flags)
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

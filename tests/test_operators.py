@@ -271,10 +271,17 @@ def test_unpivot_null_addend(spark):
     assert rows(got) == [(1, "a", 2), (1, "sum", None)]
 
 
-def test_one_hot_beyond_its_columns_is_a_map(spark):
-    frame = spark.createDataFrame([(str(i),) for i in range(5)] + [(None,)], "v string")
-    got = shape.one_hot(frame, "v", str, max_labels=4)
-    assert rows(got, "v", "cat_flags") == [*[(str(i), {str(i): 1}) for i in range(5)], (None, None)]
+@pytest.mark.parametrize("n", [3, 500, 501])
+def test_one_hot_has_one_form_for_any_number_of_labels(spark, n):
+    frame = spark.createDataFrame([(f"{i:03d}",) for i in range(n)] + [(None,)], "v string")
+    got = shape.one_hot(frame, "v", str)
+    assert got.columns == ["v", *[f"cat_{i:03d}" for i in range(n)]]
+    row = got.where("v = '002'").first()
+    assert row["cat_002"] == 1 and sum(row[1:]) == 1
+    named = shape.one_hot(frame, "v", str, labels=["001", "absent"])
+    assert named.columns == ["v", "cat_001", "cat_absent", "cat_other"]
+    found = {r.v: (r.cat_001, r.cat_absent, r.cat_other) for r in named.where("v IN ('001', '002') OR v IS NULL").collect()}
+    assert found == {"001": (1, 0, {}), "002": (0, 0, {"002": 1}), None: (0, 0, {})}
 
 
 def test_one_hot_labels_of_one_name_share_a_flag(spark):
