@@ -18,8 +18,9 @@ import pyarrow as pa
 
 from gable.llm.tokens import flat
 
-#: Pieces that a worker remembers, in each of two generations.
-REMEMBERED = 250_000
+#: Pieces that a worker remembers, in each of two generations, and bytes of text it works on at once.
+REMEMBERED = 120_000
+SLICE = 1 << 22
 
 #: Kinds of bytes: unsure, blank, other white space, letter, digit, mark, apostrophe, beyond ASCII.
 UNSURE, BLANK, SPACE, LETTER, DIGIT, MARK, QUOTE, BEYOND = range(8)

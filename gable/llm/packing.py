@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gable.llm.byte_pieces import encoder
+from gable.llm.byte_pieces import SLICE, encoder
 from gable.llm.common import read, texts
 from gable.llm.tokens import pieces
 from gable.runtime import fits_broadcast, stage
@@ -43,7 +43,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def rows(batches):
         enc = encoder(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=SLICE):
             ids, counts = enc.ids(batch.column("text"))
             stops = np.cumsum(counts)
             data = np.insert(ids.astype("<u4"), stops, end_id)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gable.llm.byte_pieces import BLANK, DIGIT, KIND, LETTER, MARK, QUOTE, SPACE, PieceEncoder, encoder
+from gable.llm.byte_pieces import BLANK, DIGIT, KIND, LETTER, MARK, QUOTE, SLICE, SPACE, PieceEncoder, encoder
 from gable.llm.common import read, texts
 from gable.llm.files import mapped, place
 from gable.llm.tokens import pieces
@@ -145,7 +145,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         own = f"{base}/{name}.{TaskContext.get().taskAttemptId()}"
         stream, offset, row, out = None, 0, 0, []
         enc = encoder(tokenizer, WordEncoder)
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=SLICE):
             if stream is None:
                 stream = store.open_output_stream(own)
             ids, counts = enc.ids(batch.column("text"))
