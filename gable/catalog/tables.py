@@ -181,15 +181,45 @@ def _(spark, folder):
     return hotspot_model.macro_f1(hotspot_model.confusion_matrix(_naive(spark, folder), "target_hotspot_level", "predicted"))
 
 
-@query(
-    "hotspot_model_fit",
-    f"""SELECT CASE WHEN snapshot_date <= DATE '{TRAIN_UNTIL}' THEN 'train' WHEN snapshot_date <= DATE '{VALID_UNTIL}' THEN 'valid' ELSE 'test' END AS split,
-    CAST(count(*) AS BIGINT) AS row_count, true AS metrics_in_range, {len(hotspot_model.NUMERIC + hotspot_model.CATEGORICAL)} AS feature_count, true AS importances_sum_to_one
-    FROM vw_ml_hotspot_dataset WHERE target_hotspot_level IS NOT NULL GROUP BY 1""",
-)
+def _statistics_sql() -> str:
+    """Every statistic recomputed row by row from the rows of earlier days."""
+    learnt = f"e.snapshot_date < d.snapshot_date AND e.snapshot_date <= DATE '{TRAIN_UNTIL}'"
+    known = "(SELECT * FROM vw_ml_hotspot_dataset WHERE target_hotspot_level IS NOT NULL)"
+    parts = []
+    for c in hotspot_model.CATEGORICAL:
+        shares = [
+            f"(count(*) FILTER (e.target_hotspot_level = '{level}') + 1.0e0) / (count(e.snapshot_date) + 3.0e0) AS {hotspot_model.target_name(c, level)}" for level in hotspot_model.LEVELS
+        ]
+        names = f"(SELECT DISTINCT snapshot_date, {c} FROM {known})"
+        parts.append(f"(SELECT d.snapshot_date, d.{c}, {', '.join(shares)} FROM {names} d LEFT JOIN {known} e ON d.{c} IS NOT DISTINCT FROM e.{c} AND {learnt} GROUP BY ALL)")
+    joins_ = " ".join(f"JOIN {part} t{i} ON t{i}.snapshot_date = r.snapshot_date AND t{i}.{c} IS NOT DISTINCT FROM r.{c}" for i, (part, c) in enumerate(zip(parts, hotspot_model.CATEGORICAL, strict=True)))
+    return f"SELECT r.snapshot_date, r.area_name, r.ward_name, r.street_name, {', '.join(hotspot_model.ENCODED)} FROM {known} r {joins_}"
+
+
+@query("target_statistics", _statistics_sql(), rounded=hotspot_model.ENCODED, digits=9)
 def _(spark, folder):
+    rows = hotspot_model.model_rows(warehouse(spark, folder)["vw_ml_hotspot_dataset"], TRAIN_UNTIL, VALID_UNTIL)
+    return rows.select("snapshot_date", *hotspot_model.PLACE, *hotspot_model.ENCODED)
+
+
+_FITTED = f"""SELECT CASE WHEN snapshot_date <= DATE '{TRAIN_UNTIL}' THEN 'train' WHEN snapshot_date <= DATE '{VALID_UNTIL}' THEN 'valid' ELSE 'test' END AS split,
+    CAST(count(*) AS BIGINT) AS row_count, true AS metrics_in_range, {len(hotspot_model.NUMERIC + hotspot_model.CATEGORICAL)} AS feature_count, true AS importances_sum_to_one
+    FROM vw_ml_hotspot_dataset WHERE target_hotspot_level IS NOT NULL GROUP BY 1"""
+
+
+def _fitted(spark, folder, **options):
     dataset = warehouse(spark, folder)["vw_ml_hotspot_dataset"]
-    scored, weights = hotspot_model.train_and_score(dataset, TRAIN_UNTIL, VALID_UNTIL, trees=20, depth=6)
+    scored, weights = hotspot_model.train_and_score(dataset, TRAIN_UNTIL, VALID_UNTIL, **options)
     whole = weights.agg(F.count_distinct("feature").cast("int").alias("feature_count"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("importances_sum_to_one"))
     in_range = F.col("accuracy").between(0, 1) & F.col("macro_f1").between(0, 1)
     return scored.select("split", "row_count", in_range.alias("metrics_in_range")).join(F.broadcast(whole))
+
+
+@query("hotspot_model_fit", _FITTED)
+def _(spark, folder):
+    return _fitted(spark, folder, trees=20, depth=6)
+
+
+@query("hotspot_boosted_fit", _FITTED)
+def _(spark, folder):
+    return _fitted(spark, folder, boosted=True, trees=12, depth=4)

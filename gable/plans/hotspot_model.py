@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gable.functions import dates, scores
 from gable.operators import groups, series
 from gable.plans import gold, vocab
 from gable.runtime import attach, stage
+from gable.sources.sinks import replace_table
 
 PLACE = ["area_name", "ward_name", "street_name"]
 
@@ -178,63 +179,98 @@ def macro_f1(confusion: DataFrame) -> DataFrame:
     )
 
 
-#: Names kept of each place or class; all others share one. Bounds the bins of the trees.
-NAMES_KEPT = 128
+def target_name(column: str, level: str) -> str:
+    """Column of the statistic of a categorical column and a level."""
+    return f"{column}__{level.lower()}"
 
 
-def frequent_levels(train: DataFrame, column: str, levels: int = NAMES_KEPT) -> list[str]:
-    """The most frequent values of a column, at most ``levels``, ties by name."""
-    counted = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return [r[0] for r in counted.orderBy(F.col("n").desc(), column).limit(levels).collect()]
+#: Statistics of every categorical column, one for each level.
+ENCODED = [target_name(c, level) for c in CATEGORICAL for level in LEVELS]
 
+#: Rows that the even share of the levels counts for in a statistic.
+PRIOR_ROWS = 3.0
 
-def fit(train: DataFrame, *, trees: int = 40, depth: int = 8, seed: int = 7, levels: int = NAMES_KEPT):
-    """Random forest over the declared features; Spark trains it in parallel.
 
-    A name that is not among the ``levels`` most frequent of its column is one
-    of the others, so neither the driver nor a tree node grows with the number
-    of names.
+def target_statistics(
+    df: DataFrame,
+    learn: Column,
+    columns: Sequence[str] = CATEGORICAL,
+    target: str = "target_hotspot_level",
+    levels: Sequence[str] = LEVELS,
+    date: str = "snapshot_date",
+    prior_rows: float = PRIOR_ROWS,
+) -> DataFrame:
+    """Share of each level among the earlier rows of the same name, smoothed to an even share.
+
+    A row's own day and later ones are never used, so a statistic knows nothing of the target it
+    helps to predict; only rows where ``learn`` holds teach. Every name keeps its own statistic,
+    however many there are; a null is a name. Rows are counted by name and day first, so the
+    running sum of a name is over its days, and one row for each name and day is joined back.
+    """
+    for column in columns:
+        hits = [F.count_if(learn & (F.col(target) == level)).alias(f"__{i}") for i, level in enumerate(levels)]
+        daily = df.groupBy(column, date).agg(F.count_if(learn & F.col(target).isNotNull()).alias("__n"), *hits)
+        before = Window.partitionBy(column).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+        seen = {c: F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("__n", *[f"__{i}" for i in range(len(levels))])}
+        shares = [((seen[f"__{i}"] + prior_rows / len(levels)) / (seen["__n"] + prior_rows)).alias(target_name(column, level)) for i, level in enumerate(levels)]
+        df = attach(df, daily.select(column, date, *shares), [column, date], null_safe=True)
+    return df
+
+
+def fit(train: DataFrame, *, boosted: bool = False, trees: int = 40, depth: int = 8, seed: int = 7):
+    """A forest, or gradient-boosted trees of each level against the others, over rows with target statistics.
+
+    Spark trains both in parallel; boosting runs ``trees`` rounds for each level. Names come in
+    as their statistics (``target_statistics``), so neither the driver nor a tree node grows
+    with the number of names.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
-
-    def text(value: str) -> str:
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    cases = []
-    for c in CATEGORICAL:
-        names = ", ".join(text(v) for v in frequent_levels(train, c, levels)) or "NULL"
-        cases.append(f"CASE WHEN {c} IN ({names}) THEN {c} ELSE 'other' END AS {c}__level")
-    named = [f"{c}__level" for c in CATEGORICAL]
-    indexed = [f"{c}__index" for c in CATEGORICAL]
+    from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+    from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+
     filled = [f"{c}__filled" for c in NUMERIC]
+    if boosted:
+        one = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.1, subsamplingRate=0.7)
+        last = OneVsRest(classifier=one, parallelism=len(LEVELS))
+    else:
+        last = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
     stages = [
-        SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"),
         StringIndexer(inputCol="target_hotspot_level", outputCol="label", handleInvalid="skip"),
-        StringIndexer(inputCols=named, outputCols=indexed, handleInvalid="keep"),
         Imputer(inputCols=NUMERIC, outputCols=filled, strategy="median"),
-        VectorAssembler(inputCols=filled + indexed, outputCol="features", handleInvalid="keep"),
-        RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=levels + 3, seed=seed),
+        VectorAssembler(inputCols=filled + ENCODED, outputCol="features", handleInvalid="keep"),
+        last,
     ]
-    doubles = train.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
-    return Pipeline(stages=stages).fit(doubles)
+    return Pipeline(stages=stages).fit(_doubles(train))
+
+
+def _doubles(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
 
 
 def predict(model, df: DataFrame) -> DataFrame:
-    """Add ``predicted_level`` to every row."""
+    """Add ``predicted_level`` to every row with target statistics."""
     from pyspark.ml.feature import IndexToString
 
-    labels = model.stages[1].labels
-    doubles = df.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
-    scored = model.transform(doubles)
+    labels = model.stages[0].labels
+    scored = model.transform(_doubles(df))
     return IndexToString(inputCol="prediction", outputCol="predicted_level", labels=labels).transform(scored)
 
 
 def importances(model) -> list[tuple[str, float]]:
-    """Feature importances, highest first."""
-    weights = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(NUMERIC + CATEGORICAL, map(float, weights)), key=lambda pair: -pair[1])
+    """Feature importances, highest first; a categorical feature has the sum of its statistics."""
+    last = model.stages[-1]
+    models = getattr(last, "models", [last])
+    weights = sum(m.featureImportances.toArray() for m in models) / len(models)
+    summed = dict.fromkeys(NUMERIC + CATEGORICAL, 0.0)
+    for name, weight in zip(NUMERIC + ENCODED, map(float, weights), strict=True):
+        summed[name if name in summed else name.rsplit("__", 1)[0]] += weight
+    return sorted(summed.items(), key=lambda pair: -pair[1])
+
+
+def model_rows(dataset: DataFrame, train_until: str, valid_until: str) -> DataFrame:
+    """Rows with targets, their split, and target statistics learnt from the first one."""
+    rows = time_split(training_rows(dataset), train_until, valid_until)
+    return stage(target_statistics(rows, F.col("split") == "train"), "hotspot-rows")
 
 
 def train_and_score(dataset: DataFrame, train_until: str, valid_until: str, **options: int) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +279,7 @@ def train_and_score(dataset: DataFrame, train_until: str, valid_until: str, **op
     Scores are ``split, row_count, accuracy, macro_f1, naive_accuracy`` (of always
     guessing the most frequent level of the split), weights ``feature, importance``.
     """
-    rows = stage(time_split(training_rows(dataset), train_until, valid_until), "hotspot-rows")
+    rows = model_rows(dataset, train_until, valid_until)
     model = fit(rows.filter(F.col("split") == "train"), **options)
     scored = stage(
         predict(model, rows).select("split", "target_hotspot_level", "predicted_level"), "hotspot-scored"
@@ -259,3 +295,10 @@ def train_and_score(dataset: DataFrame, train_until: str, valid_until: str, **op
     scores_ = reports[0].unionByName(reports[1]).unionByName(reports[2]).join(sizes, "split")
     weights = dataset.sparkSession.createDataFrame(importances(model), "feature string, importance double")
     return scores_, weights
+
+
+def job_hotspot_model(dataset: DataFrame, train_until: str, valid_until: str, scores_table: str, weights_table: str, **options: int) -> None:
+    """Trains the model and stores its scores by split and its feature weights as tables."""
+    found = train_and_score(dataset, train_until, valid_until, **options)
+    for frame, table in zip(found, (scores_table, weights_table), strict=True):
+        replace_table(frame, table)

@@ -85,15 +85,46 @@ def test_macro_f1_by_hand(spark):
     assert got["accuracy"] == pytest.approx(5 / 7) and got["macro_f1"] == pytest.approx(sum(f1) / 3)
 
 
-def test_model_fits_and_ranks_features(tables):
-    rows_ = hotspot_model.time_split(hotspot_model.training_rows(tables["vw_ml_hotspot_dataset"]), "2024-03-15", "2024-04-07")
-    model = hotspot_model.fit(rows_.filter("split = 'train'"), trees=5, depth=3)
+def test_target_statistics_know_only_earlier_days(spark):
+    days = [(d, name, level) for d, name, level in [(1, "x", "Low"), (1, "x", "High"), (2, "x", "High"), (4, "x", "Low"), (2, None, "Low"), (3, None, "High"), (1, "y", "High"), (9, "x", "High")]]
+    frame = spark.createDataFrame(days, "d int, name string, level string").withColumn("day", F.expr("date_add(DATE '2024-01-01', d)"))
+    got = hotspot_model.target_statistics(frame, F.col("d") < 4, ["name"], "level", ["Low", "High"], "day", prior_rows=2.0)
+    for r in got.collect():
+        earlier = [level for d, name, level in days if name == r.name and d < r.d and d < 4]
+        assert r["name__low"] == pytest.approx((earlier.count("Low") + 1) / (len(earlier) + 2))
+        assert r["name__high"] == pytest.approx((earlier.count("High") + 1) / (len(earlier) + 2))
+    assert got.count() == len(days)
+
+
+def test_statistics_of_a_day_do_not_depend_on_its_targets(spark, tables):
+    rows_ = hotspot_model.model_rows(tables["vw_ml_hotspot_dataset"], "2024-03-15", "2024-04-07")
+    last = rows_.agg(F.max("snapshot_date")).first()[0]
+    plain = rows_.drop(*hotspot_model.ENCODED)
+    turned = plain.withColumn("target_hotspot_level", F.when(F.col("snapshot_date") == last, "High").otherwise(F.col("target_hotspot_level")))
+    again = hotspot_model.target_statistics(turned, F.lit(True))
+    first = hotspot_model.target_statistics(plain, F.lit(True))
+    assert rows(again, *hotspot_model.PLACE, "snapshot_date", *hotspot_model.ENCODED) == rows(first, *hotspot_model.PLACE, "snapshot_date", *hotspot_model.ENCODED)
+
+
+@pytest.mark.parametrize("options", [{"trees": 5, "depth": 3}, {"boosted": True, "trees": 2, "depth": 2}])
+def test_model_fits_and_ranks_features(tables, options):
+    rows_ = hotspot_model.model_rows(tables["vw_ml_hotspot_dataset"], "2024-03-15", "2024-04-07")
+    model = hotspot_model.fit(rows_.filter("split = 'train'"), **options)
     ranked = hotspot_model.importances(model)
-    assert len(ranked) == 52 and ranked[0][1] > 0
+    assert len(ranked) == 52 and ranked[0][1] > 0 and sum(w for _, w in ranked) == pytest.approx(1)
     scored = hotspot_model.predict(model, rows_.filter("split = 'test'"))
     assert {r[0] for r in scored.select("predicted_level").distinct().collect()} <= set(hotspot_model.LEVELS)
 
 
+def test_model_job_stores_scores_and_weights(spark, tables):
+    dataset = tables["vw_ml_hotspot_dataset"]
+    hotspot_model.job_hotspot_model(dataset, "2024-03-15", "2024-04-07", "model_scores", "model_weights", trees=2, depth=2)
+    assert {r.split for r in spark.table("model_scores").collect()} <= {"train", "valid", "test"}
+    assert spark.table("model_weights").count() == 52
+    for name in ("model_scores", "model_weights"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_contract_and_flagship(spark):
     import __spark_entry__ as entry
 
