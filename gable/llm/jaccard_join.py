@@ -18,8 +18,9 @@
    bounded, and every pair of pieces that can hold a link is a task of its own.
 4. Components of the links, over classes of equal sets, are the result.
 
-No pairs inside a cluster are emitted: a verified piece gives one row for each document,
-the smallest document of its connected part and how many links it has.
+No pairs inside a cluster are emitted: a piece by itself gives each document the smallest of
+its connected part, its head; two pieces then give the heads that links between them lead
+together, and how many links each document has.
 
 Defined cases: a null or empty text has no shingles, is linked with nothing and is its own
 component; a text of fewer words than a shingle is one shingle of all its words; a null
@@ -36,9 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gable.llm.common import components, read, sized_join, texts
+from gable.llm.common import BROADCAST_IDS, components, read, sized_join, texts
 from gable.llm.tokens import give_back, mix, pieces, word_hashes
-from gable.runtime import stage
+from gable.runtime import row_count, stage
 
 #: Keys that a task gathers before it passes them on.
 GATHER = 1_500_000
@@ -139,21 +140,30 @@ def describe(rule: Rule):
     return rows
 
 
+def joined_heads(head: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Distinct pairs of heads that are in one part; ``label`` is a row of each row's part."""
+    pairs = np.stack([head, head[label]], axis=1)
+    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+
+
 def near(rule: Rule):
-    """For a group of pieces: ``a, b``: each document and the smallest that pairs within the Hamming bound lead to."""
+    """For a group of pieces: ``a, b``: heads that pairs within the Hamming bound lead together.
+
+    Where a document is its own head, that is each document and the smallest of its part.
+    """
 
     def piece(table: pa.Table) -> pa.Table:
         cluster, docs = table.column("cluster").to_numpy(), table.column("doc_id").to_numpy()
-        n, blobs = table.column("n").to_numpy(), table.column("sketch").to_pylist()
+        n, blobs, head = table.column("n").to_numpy(), table.column("sketch").to_pylist(), table.column("head").to_numpy()
         order = np.lexsort((docs, cluster))
         out = []
         for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
             size = n[rows]
             graph = hamming_bound(folded([blobs[i] for i in rows])) <= rule.differences(size[:, None] + size[None, :]) + 0.25
-            out.append((docs[rows], docs[rows][parts_of(graph)]))
-        a, b = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+            out.append(joined_heads(head[rows], parts_of(graph)))
+        a, b = np.concatenate(out).astype(np.int64).T
         give_back()
-        return pa.table({"a": pa.array(a[a != b]), "b": pa.array(b[a != b])})
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return piece
 
@@ -288,22 +298,25 @@ def links(sets: list[np.ndarray], side: np.ndarray, cross: bool, rule: Rule) ->
 
 
 def verify(rule: Rule):
+    """For a group of pieces: ``a, links`` of each linked document, and ``a, b`` of the heads that links lead together."""
+
     def piece(table: pa.Table) -> pa.Table:
         cluster = table.column("cluster").to_numpy()
-        docs, sides = table.column("doc_id").to_numpy(), table.column("side").to_numpy()
+        docs, sides, head = (table.column(c).to_numpy() for c in ("doc_id", "side", "head"))
         cross = table.column("crossed").to_numpy(zero_copy_only=False)
         blobs = table.column("set").to_pylist()
         order = np.lexsort((docs, cluster))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        counts, edges = [], []
         for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
             sets = [np.frombuffer(blobs[i], dtype=np.uint64) for i in rows]
             graph = links(sets, sides[rows], bool(cross[rows[0]]), rule)
-            label = parts_of(graph)
             hit = np.flatnonzero(graph.any(axis=1))
-            out.append((docs[rows][hit], docs[rows][label[hit]], graph.sum(axis=1)[hit]))
-        a, b, c = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+            counts.append(np.stack([docs[rows][hit], graph.sum(axis=1)[hit]], axis=1))
+            edges.append(joined_heads(head[rows], parts_of(graph)))
+        (a, links_), (x, y) = (np.concatenate(both).astype(np.int64).T for both in (counts, edges))
         give_back()
-        return pa.table({"a": pa.array(a), "b": pa.array(b), "links": pa.array(c)})
+        none = pa.nulls(len(a), pa.int64()), pa.nulls(len(x), pa.int64())
+        return pa.table({"a": pa.chunked_array([a, x]), "b": pa.chunked_array([none[0], pa.array(y)]), "links": pa.chunked_array([pa.array(links_), none[1]])})
 
     return piece
 
@@ -355,8 +368,13 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
     rows = texts(docs)
     meta = stage(rows.mapInArrow(describe(rule), "doc_id long, n long, s1 long, s2 long, sketch binary"), "sets")
     known = meta.where("doc_id IS NOT NULL AND n > 0")
-    by_set = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("class_id"))
-    classes = stage(known.join(by_set, ["s1", "s2", "n"]).select("doc_id", "class_id", "n"), "classes")
+    same_set = ["s1", "s2", "n"]
+    # only sets that occur again are looked up, so a frequent one is combined in each task and then broadcast
+    again = known.groupBy(*same_set).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
+    again = stage(again, "again")
+    looked_up = F.broadcast(again) if row_count(again) <= BROADCAST_IDS else again
+    class_id = F.coalesce("class_id", "doc_id").alias("class_id")
+    classes = stage(known.join(looked_up, same_set, "left").select("doc_id", class_id, "n"), "classes")
     largest = classes.agg(F.max("n")).first()[0]
     if largest is None:
         return meta.selectExpr("doc_id", "n AS n_shingles", "doc_id AS class_id", "0L AS n_links", "doc_id AS component_id")
@@ -371,21 +389,35 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
     def of(parts: DataFrame) -> DataFrame:
         return stage(named_sizes.join(parts.selectExpr("node AS doc_id", "component AS cluster"), "doc_id"), "members")
 
+    def compared(rows: DataFrame, check, schema: str, label: str) -> DataFrame:
+        """``check`` of all tasks of ``rows``: first pieces by themselves, then pairs of pieces, which know the heads found before.
+
+        A pair of pieces therefore gives a row for each two heads that it joins, not for each document.
+        """
+        def tasks(part: DataFrame, crossed: bool) -> DataFrame:
+            chosen = F.filter("tasks", lambda t: t["crossed"] == F.lit(crossed))
+            return part.select("*", F.explode(chosen).alias("t")).select(*[c for c in part.columns if c != "tasks"], "t.*")
+
+        alone = stage(tasks(rows.withColumn("head", F.col("doc_id")), False).groupBy("task").applyInArrow(check, schema), label)
+        heads = alone.where("b IS NOT NULL").groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("head"))
+        several = rows.where(F.exists("tasks", lambda t: t["crossed"])).join(heads, "doc_id", "left")
+        several = several.withColumn("head", F.coalesce("head", "doc_id"))
+        return alone.unionByName(stage(tasks(several, True).groupBy("task").applyInArrow(check, schema), label))
+
     # sketches are small, so the clusters of shared blocks come apart before any set is sent
-    sketched = pieces_of(of(clusters), rule, largest).join(meta.select("doc_id", "n", "sketch"), "doc_id")
-    sketched = sketched.select("doc_id", "n", "cluster", F.explode("tasks").alias("t"), "sketch").select("doc_id", "n", "cluster", "t.task", "sketch")
-    members = of(components(sketched.groupBy("task").applyInArrow(near(rule), "a long, b long")))
+    sketched = pieces_of(of(clusters), rule, largest).join(meta.select("doc_id", "n", "sketch"), "doc_id").select("doc_id", "n", "cluster", "tasks", "sketch")
+    members = of(components(compared(sketched, near(rule), "a long, b long", "near")))
     sets = sized_join(rows, pieces_of(members, rule, largest), ["doc_id"], "inner").select("doc_id", "cluster", "tasks", "text")
-    sets = sets.mapInArrow(with_sets(rule), SET_ROWS).select("doc_id", "cluster", F.explode("tasks").alias("t"), "set").select("doc_id", "cluster", "t.*", "set")
-    found = stage(sets.groupBy("task").applyInArrow(verify(rule), "a long, b long, links long"), "links")
-    counts = found.groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("n_links"))
+    sets = sets.mapInArrow(with_sets(rule), SET_ROWS)
+    found = compared(sets, verify(rule), "a long, b long, links long", "links")
+    counts = found.where("links IS NOT NULL").groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("n_links"))
     same = classes.select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")).where("a <> b")
     # a document that repeats an id is in several classes, which are then joined through it
     split = classes.groupBy("doc_id").agg(F.countDistinct("class_id").alias("k")).where("k > 1").select("doc_id")
     bridges = same.join(split.withColumnRenamed("doc_id", "a"), "a", "left_semi")
-    parts = components(found.select("a", "b").union(bridges)).withColumnsRenamed({"node": "class_id", "component": "part"})
-    about = stage(by_set.groupBy("class_id").agg(F.first("s1").alias("_")).drop("_").join(counts, "class_id", "left").join(parts, "class_id", "left"), "about")
-    out = meta.drop("sketch").join(by_set, ["s1", "s2", "n"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")))
+    parts = components(found.where("b IS NOT NULL").select("a", "b").union(bridges)).withColumnsRenamed({"node": "class_id", "component": "part"})
+    about = stage(classes.where("doc_id = class_id").select("class_id").distinct().join(counts, "class_id", "left").join(parts, "class_id", "left"), "about")
+    out = meta.drop("sketch").join(looked_up, same_set, "left").withColumn("class_id", F.when(F.col("n") > 0, class_id))
     out = out.join(about, "class_id", "left")
     own = F.col("doc_id").isNull()
     return out.select(

@@ -67,6 +67,19 @@ def test_jaccard_join(copies, k, percent, piece, monkeypatch):
         assert r.n_links == len(linked)
 
 
+def test_large_group_joins_heads_and_not_documents(spark, monkeypatch):
+    """Edges given to the components grow with documents and pairs of pieces, not with their product."""
+    monkeypatch.setattr(jaccard_join, "PIECE_DOCS", 250)
+    counted, plain = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: counted.append(edges.count()) or plain(edges))
+    base = prose(3, 120)
+    docs = table(spark, [(i, changed(base, 1, i)) for i in range(5000)])
+    got = jaccard_join.join(docs, jaccard_join.Rule(3, 90)).select("component_id", "n_links").collect()
+    assert {r.component_id for r in got} == {0} and min(r.n_links for r in got) > 2000
+    pieces = 5000 // 250
+    assert all(n <= 5000 + 2 * pieces**2 for n in counted[1:])
+
+
 def test_jaccard_join_empty(none, spark):
     assert jaccard_join.join(none, jaccard_join.Rule(3, 90)).count() == 0
     blank = jaccard_join.join(table(spark, [(1, None), (2, ""), (None, " ")]), jaccard_join.Rule(3, 90))
