@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from gable.operators import quality
-from gable.plans import silver
+from gable.plans import silver, vocab
 from gable.plans.warehouse import Warehouse
-from gable.runtime import stage, temporary
+from gable.runtime import row_count, stage, temporary
 from gable.sources import readers, sinks
 
 # Keys and references of the gold tables; metadata only.
@@ -138,6 +139,64 @@ def trends_to_silver(catalog: Catalog, path: str, schema: StructType | str, *, d
     return catalog.append_new(clean, "trends_daily", ["date", "keyword_group"])
 
 
+def plan_trends(catalog: Catalog, groups: Sequence[str], today: str, *, initial: str, window_days: int, lookback_days: int) -> DataFrame:
+    """``keyword_group, load_type, window_start, window_end``: what the next ingestion asks for.
+
+    A group without a mark starts at ``initial``; others go back ``lookback_days``, or to
+    their mark if that is older, so days on which no job ran are not left out.
+    """
+    plan = catalog.spark.createDataFrame([(g,) for g in groups], "keyword_group string")
+    known = catalog.exists("trend_marks")
+    plan = plan.join(catalog.read("trend_marks"), "keyword_group", "left") if known else plan.withColumn("high_water", F.lit(None).cast("date"))
+    mark, day = F.col("high_water"), F.lit(today).cast("date")
+    start = F.when(mark.isNull(), F.lit(initial).cast("date")).otherwise(F.least(F.date_sub(day, lookback_days), mark))
+    plan = plan.withColumns({"load_type": F.when(mark.isNull(), "initial").otherwise("daily"), "start": start})
+    return readers.plan_windows(plan, F.col("start"), F.date_add(day, 1), window_days, ["keyword_group", "load_type"])
+
+
+def ingest_trends(
+    catalog: Catalog,
+    path: str,
+    extract: Callable[[DataFrame], DataFrame],
+    groups: Sequence[str],
+    today: str,
+    schema: StructType | str,
+    *,
+    initial: str,
+    window_days: int = 30,
+    lookback_days: int = 7,
+    meta: Mapping[str, str] | None = None,
+) -> int:
+    """Search interest from its source to silver: plan, extract, merge, records, manifest, silver, marks.
+
+    ``extract`` gives, for planned windows, wide rows with ``date``, ``keyword_group`` and
+    the bounds of their window. A run is named by its day and windows; its records are
+    a folder of that name, its manifest a row with that key, silver adds only new rows, and
+    the marks move last. A run that stopped anywhere is repeated under the same name and
+    adds nothing twice. Returns the number of rows added to silver.
+    """
+    spark = catalog.spark
+    with temporary(spark):
+        windows = stage(plan_trends(catalog, groups, today, initial=initial, window_days=window_days, lookback_days=lookback_days), "windows")
+        asked = sorted(map(tuple, windows.select("keyword_group", "load_type", F.col("window_start").cast("string"), F.col("window_end").cast("string")).collect()))
+        batch = hashlib.sha256(repr((today, asked)).encode()).hexdigest()[:16]
+        found = readers.merge_windows(extract(windows), ["date", "keyword_group"], "window_end")
+        found = found.withColumnsRenamed({"window_start": "timeframe_start", "window_end": "timeframe_end"})
+        rows = stage(readers.to_series_records(found.withColumn("batch_id", F.lit(batch)), vocab.KEYWORDS), "interest")
+        if row_count(rows) == 0:
+            return 0
+        folder = f"{path}/date={today}/interest_{batch}.jsonl"
+        rows.write.mode("overwrite").option("ignoreNullFields", False).json(folder)
+        manifest = sinks.batch_manifest(rows, "date", {"batch_id": batch, "load_types": ",".join(sorted({a[1] for a in asked})), **(meta or {})})
+        catalog.append_new(manifest, "trend_batches", ["batch_id"])
+        added = trends_to_silver(catalog, folder, schema)
+        marks = rows.groupBy("keyword_group").agg(F.max("date").alias("high_water"))
+        if catalog.exists("trend_marks"):
+            marks = marks.unionByName(catalog.read("trend_marks")).groupBy("keyword_group").agg(F.max("high_water").alias("high_water"))
+        catalog.replace(stage(marks, "marks"), "trend_marks", {"primaryKey": "keyword_group"})
+        return added
+
+
 def silver_to_gold(source: Catalog, target: Catalog, *, exact: bool = False) -> Warehouse:
     """Build every gold table from the silver tables, dimensions first.
 

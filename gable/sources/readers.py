@@ -104,11 +104,20 @@ def load_bounds(spark: SparkSession, has_data: bool, today: str, *, initial: str
     return start, today
 
 
-def plan_windows(bounds: DataFrame, start: Column, end: Column, days: int) -> DataFrame:
-    """Cut [start, end) into windows of ``days``; the last one is clipped."""
+def plan_windows(bounds: DataFrame, start: Column, end: Column, days: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Cut [start, end) into windows of ``days``; the last one is clipped. Columns in ``keep`` stay beside each."""
     starts = F.sequence(start, F.date_sub(end, 1), F.expr(f"interval {int(days)} days"))
-    cut = bounds.select(F.explode(F.when(start < end, starts)).alias("window_start"), end.alias("__end"))
-    return cut.select("window_start", F.least(F.date_add("window_start", days), F.col("__end")).alias("window_end"))
+    cut = bounds.select(*keep, F.explode(F.when(start < end, starts)).alias("window_start"), end.alias("__end"))
+    return cut.select(*keep, "window_start", F.least(F.date_add("window_start", days), F.col("__end")).alias("window_end"))
+
+
+def within_windows(series: DataFrame, windows: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
+    """Rows of a stored series that planned windows ask for, with the bounds of the window; a row is given for each of its windows.
+
+    Windows are few (a plan is some per key), so they are sent to the rows.
+    """
+    inside = (F.col(date) >= F.col("window_start")) & (F.col(date) < F.col("window_end"))
+    return series.join(F.broadcast(windows), list(keys)).where(inside)
 
 
 def merge_windows(extracts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
