@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from gable.catalog import reference_sql as ref
 from gable.catalog.registry import query
 from gable.functions import dates, scores
-from gable.operators import dedup, groups, joins, ordered, quality, series
+from gable.operators import dedup, groups, joins, ordered, quality, series, sketches
 from gable.plans import gold, silver
 from gable.plans.adapter import listings, table
 from gable.plans.warehouse import warehouse
-from gable.runtime import attach, stage
+from gable.runtime import attach, scratch_path, stage, zip_groups
 
 ID = ["list_id", "ad_id"]
 
@@ -420,3 +420,52 @@ def _(spark, folder):
 def _(spark, folder):
     rows = listings(spark, folder).select(*ID, "price")
     return rows.orderBy(F.col("price").desc_nulls_last(), *ID).limit(20)
+
+
+# --- stored sketches -------------------------------------------------------
+
+_SHARES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+_PERIOD = "snapshot_date BETWEEN DATE '2024-01-15' AND DATE '2024-03-31'"
+
+
+def _stored_states(spark, folder):
+    """States of each area, category and day, stored in two loads that share days."""
+    path = scratch_path(spark, "states")
+    name = "states_" + path.rsplit("/", 1)[-1].replace("-", "_") + spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    keys = ["area_name", "category_name"]
+    rows = listings(spark, folder).select(*keys, "snapshot_date", "price", "account_id")
+    for load in (rows.where("snapshot_date < '2024-03-01'"), rows):
+        sketches.add_days(sketches.day_states(load, keys, "snapshot_date", "price", "account_id"), name, keys, "snapshot_date", path)
+    return spark.table(name)
+
+
+# Sketches are no exact numbers, so the counts are compared and the error is judged on the rows themselves.
+@query(
+    "stored_quantiles",
+    f"""SELECT area_name, CAST(count(*) AS BIGINT) AS row_count, CAST(count(price) AS BIGINT) AS value_count, true AS q1_within, true AS median_within, true AS q3_within
+    FROM listings WHERE {_PERIOD} GROUP BY 1""",
+)
+def _(spark, folder):
+    merged = sketches.figures(sketches.merged(_stored_states(spark, folder), ["area_name"], F.expr(_PERIOD)), _SHARES, "sellers")
+    rows = listings(spark, folder).where(_PERIOD).select("area_name", "price")
+    # ranks of the sketch's values among all values of the group
+    ranks = attach(rows, merged, ["area_name"], null_safe=True).groupBy("area_name", "row_count", "value_count")
+    slack = 2 * sketches.rank_error()
+    within = [
+        ((F.count_if(F.col("price") <= F.col(q)) >= (p - slack) * F.first("value_count")) & (F.count_if(F.col("price") < F.col(q)) <= (p + slack) * F.first("value_count"))).alias(f"{q}_within")
+        for q, p in _SHARES.items()
+    ]
+    return ranks.agg(*within)
+
+
+@query(
+    "stored_sellers",
+    f"""SELECT category_name, CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT account_id) AS BIGINT) AS exact_sellers, true AS within
+    FROM listings WHERE {_PERIOD} GROUP BY 1""",
+)
+def _(spark, folder):
+    merged = sketches.figures(sketches.merged(_stored_states(spark, folder), ["category_name"], F.expr(_PERIOD)), {}, "sellers")
+    exact = listings(spark, folder).where(_PERIOD).groupBy("category_name").agg(F.count_distinct("account_id").alias("exact_sellers"))
+    joined = zip_groups(merged, exact, ["category_name"])
+    off = F.abs(F.col("sellers") - F.col("exact_sellers")) <= 4 * sketches.distinct_error() * F.col("exact_sellers")
+    return joined.select("category_name", "row_count", "exact_sellers", off.alias("within"))

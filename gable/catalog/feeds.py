@@ -561,9 +561,9 @@ def _(spark, folder):
     rounded=["value_avg"],
 )
 def _(spark, folder):
-    # The running overview, brought up to date with every file; sellers are approximate there and left out.
+    # The running overview; each batch replaces the days it changed. Sellers are approximate there and left out.
     running = bronze.overview(event_stream(spark, folder), "ts", "user_id", "value", approx=True)
     out, checkpoint = scratch_path(spark, "overview"), scratch_path(spark, "overview-checkpoint")
-    writer = running.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    _finish(writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start())
+    writer = running.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    _finish(writer.foreachBatch(lambda batch, _: sinks.replace_partitions(batch, out, "snapshot_date")).start())
     return spark.read.schema(running.schema).parquet(out).drop("unique_seller_count")

@@ -9,6 +9,7 @@ from gable.operators import dedup, groups, joins, ordered, series, shape
 from gable.plans import vocab
 from gable.runtime import attach, stage, zip_groups
 
+# Natural keys of the location and property dimensions.
 LOCATION_NATURAL = ["area_name", "ward_name", "street_name", "latitude", "longitude"]
 PROPERTY_NATURAL = ["category_name", "is_land", "is_apt", "is_house", "rooms", "has_rooms"]
 #: Listing identity, unique per row; spreads hot keys in salted joins.
@@ -87,13 +88,13 @@ def dim_search_category(spark: SparkSession) -> DataFrame:
 
 
 def quality_score() -> Column:
-    """0..100 from legal state, traits, images and furnishing."""
+    """0..100 from legal state, traits, images and furnishing (fixed values)."""
     weights = {"fully_legal": 35, "semi_legal": 15, "good_quality": 30, "is_furnishing": 5}
     return scores.weighted_flags(weights, scores.image_points(F.col("number_of_images"), 15, 5))
 
 
 def seller_credibility() -> Column:
-    """0..100 from seller kind, traits, legal state and images."""
+    """0..100 from seller kind, traits, legal state and images (fixed values)."""
     weights = {"is_company_ad": 30, "good_quality": 25, "fully_legal": 25}
     return scores.weighted_flags(weights, scores.image_points(F.col("number_of_images"), 20, 10))
 

@@ -133,6 +133,16 @@ def write_jsonl(df: DataFrame, path: str, *, partition: str = "date", max_record
     )
 
 
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Writes rows so that only the partitions that ``df`` has rows of are replaced.
+
+    As the sink of a stream in update mode it keeps an aggregate current: a batch carries the
+    whole new rows of the keys it changed, and all other partitions keep their files. Writing
+    a batch again gives the same files' content.
+    """
+    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
 def kafka_payload(df: DataFrame, key: str) -> DataFrame:
     """``key`` as text and the whole row as a JSON ``value``."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from support import rows
-from gable.sources import readers
+from gable.sources import readers, sinks
 from gable.streaming import bronze
 from gable.streaming.ledger import IdLedger
 
@@ -119,6 +119,21 @@ def test_overview_stream_equals_batch_for_closed_days(spark, tmp_path):
     assert got and got == expected[: len(got)] and len(got) >= len(expected) - 1
 
 
+def test_overview_in_update_mode_rewrites_only_changed_days(spark, tmp_path):
+    base, stream = _events(spark, tmp_path)
+    out, written = str(tmp_path / "running"), []
+
+    def write(batch, _):
+        written.append(batch.count())
+        sinks.replace_partitions(batch, out, "snapshot_date")
+
+    running = bronze.overview(stream, "ts", "user", "value", approx=True)
+    running.writeStream.outputMode("update").option("checkpointLocation", f"{out}-cp").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    assert sum(written) == 6  # each day once, and not all days so far in each of six batches
+    got = spark.read.schema(running.schema).parquet(out)
+    assert rows(got, "snapshot_date", "row_count", "value_avg") == rows(bronze.overview(base, "ts", "user", "value"), "snapshot_date", "row_count", "value_avg")
+
+
 def test_stateful_dedup_keeps_rows_without_id(spark, tmp_path):
     _, stream = _events(spark, tmp_path)
     keyed = stream.withColumns({"date": F.to_date("ts"), "record_id": F.when(F.col("user") != "u0", F.col("user"))})
