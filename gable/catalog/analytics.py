@@ -12,6 +12,7 @@ from gable.plans import gold, silver
 from gable.plans.adapter import listings, table
 from gable.plans.warehouse import warehouse
 from gable.runtime import attach, scratch_path, stage, zip_groups
+from gable.sources import sinks
 
 ID = ["list_id", "ad_id"]
 
@@ -343,6 +344,26 @@ def _(spark, folder):
     return joins.lookup_key(rows, dim, gold.LOCATION_NATURAL, "location_key", spread_by=ID).select(*ID, "location_key")
 
 
+@query(
+    "stored_key_lookup",
+    """SELECT l.list_id, l.ad_id, k.location_key, NOT EXISTS (SELECT 1 FROM listings o WHERE o.snapshot_date < DATE '2024-02-01' AND o.area_name = l.area_name AND o.ward_name IS NOT DISTINCT FROM l.ward_name
+      AND o.street_name = l.street_name AND o.latitude = l.latitude AND o.longitude = l.longitude) AS is_new FROM listings l LEFT JOIN (
+      SELECT *, CAST(row_number() OVER (ORDER BY area_name NULLS FIRST, ward_name NULLS FIRST, street_name NULLS FIRST, latitude NULLS FIRST, longitude NULLS FIRST) AS BIGINT) AS location_key
+      FROM (SELECT DISTINCT area_name, ward_name, street_name, latitude, longitude FROM listings WHERE snapshot_date < DATE '2024-02-01')) k
+    ON l.area_name = k.area_name AND l.ward_name IS NOT DISTINCT FROM k.ward_name AND l.street_name = k.street_name AND l.latitude = k.latitude AND l.longitude = k.longitude""",
+)
+def _(spark, folder):
+    # The dimension of the first weeks is stored in buckets; lookup and anti join leave it where it lies.
+    rows = listings(spark, folder).select(*ID, "snapshot_date", *gold.LOCATION_NATURAL)
+    dim = ordered.dense_key(rows.where("snapshot_date < '2024-02-01'").select(*gold.LOCATION_NATURAL), gold.LOCATION_NATURAL, "location_key")
+    path = scratch_path(spark, "stored-dim")
+    name = "dim_" + path.rsplit("/", 1)[-1].replace("-", "_") + spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    sinks.store_bucketed(dim, name, gold.LOCATION_NATURAL, int(spark.conf.get("spark.sql.shuffle.partitions")), path=path)
+    found = joins.join_stored(rows, name, gold.LOCATION_NATURAL, "left", ["location_key"]).select(*ID, "location_key", F.lit(False).alias("is_new")).where("location_key IS NOT NULL")
+    fresh = joins.join_stored(rows, name, gold.LOCATION_NATURAL, "left_anti").select(*ID, F.lit(None).cast("long").alias("location_key"), F.lit(True).alias("is_new"))
+    return found.unionByName(fresh)
+
+
 @query(
     "salted_key_lookup",
     "SELECT l_orderkey, l_linenumber, l_partkey, o_custkey AS customer FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey",

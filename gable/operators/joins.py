@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gable.functions import scores
 from gable.runtime import attach, fits_broadcast, row_count, stage
+from gable.sources.sinks import BUCKET_KEY, bucket_key
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, natural: Sequence[str], key: str, *, spread_by: Sequence[str] | None = None, staged: bool = False) -> DataFrame:
@@ -28,6 +29,20 @@ def new_rows(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFra
     return df.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def join_stored(left: DataFrame, table: str, keys: Sequence[str], how: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Joins to a table stored by ``sinks.store_bucketed`` on its keys, nulls matching; ``how`` is left, left_anti or left_semi.
+
+    The stored side is not moved: its buckets are the partitions of the join. ``columns`` come along.
+    """
+    stored = left.sparkSession.table(table).select(BUCKET_KEY, *[F.col(k).alias(f"__{k}") for k in keys], *columns)
+    given = left.withColumn("__given", bucket_key(keys))
+    match = F.col("__given") == F.col(BUCKET_KEY)
+    for k in keys:  # no equality of Spark's own, which would ask for a partitioning by all of them
+        here, there = F.col(k), F.col(f"__{k}")
+        match = match & F.coalesce(here == there, here.isNull() & there.isNull())
+    return given.join(stored, match, how).drop("__given", BUCKET_KEY, *[f"__{k}" for k in keys])
+
+
 def nearest(
     left: DataFrame,
     points: DataFrame,

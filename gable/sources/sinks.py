@@ -143,6 +143,26 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+#: Hash of the keys of a bucketed table; never null, so nulls in keys are found as well.
+BUCKET_KEY = "_key"
+
+
+def bucket_key(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys]).alias(BUCKET_KEY)
+
+
+def store_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, *, mode: str = "overwrite", path: str | None = None) -> None:
+    """Stores a table in ``buckets`` files by the hash of its keys, sorted by it.
+
+    Lookups and anti joins on these keys read the buckets as they lie and shuffle the other side
+    alone. Choose at least as many buckets as shuffle partitions. Rows are dealt to the buckets
+    before the write, so each bucket is one file of a load.
+    """
+    dealt = df.withColumn(BUCKET_KEY, bucket_key(keys)).repartition(buckets, BUCKET_KEY)
+    writer = dealt.write.mode(mode).format("parquet").bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def kafka_payload(df: DataFrame, key: str) -> DataFrame:
     """``key`` as text and the whole row as a JSON ``value``."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))

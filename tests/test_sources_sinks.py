@@ -149,3 +149,27 @@ def test_code_tables_stay_stable_over_runs(spark):
 def test_kafka_payload_shape(spark, fmt):
     row = sinks.kafka_payload(spark.createDataFrame([(7, "đất")], "id long, t string"), "id").first()
     assert row["key"] == "7" and json.loads(row["value"]) == {"id": 7, "t": "đất"}
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark):
+    from gable.operators import joins
+
+    name, path = _table(spark, "bucketed")
+    data = [(f"k{i}" if i % 7 else None, i % 5, i) for i in range(400)]
+    unique = {(k, n): v for k, n, v in data}
+    stored = spark.createDataFrame([(*k, v) for k, v in unique.items()], "k string, n int, v int")
+    sinks.store_bucketed(stored, name, ["k", "n"], 8, path=path)
+    left = spark.createDataFrame([*data[:200], ("new", 1, 0), (None, 9, 1)], "k string, n int, at int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.join_stored(left, name, ["k", "n"], "left", ["v"])
+        fresh = joins.join_stored(left, name, ["k", "n"], "left_anti")
+        for frame in (found, fresh):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1, plan  # of the left side alone
+        assert rows(found, "k", "n", "at", "v") == sorted(((k, n, at, unique.get((k, n))) for k, n, at in [*data[:200], ("new", 1, 0), (None, 9, 1)]), key=lambda r: tuple((v is None, str(v)) for v in r))
+        assert rows(fresh, "k", "n") == [("new", 1), (None, 9)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql(f"DROP TABLE {name}")
