@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from support import rows
+from support import SF, rows
 from gable.sources import readers, sinks
 from gable.streaming import bronze
 from gable.streaming.ledger import IdLedger
@@ -69,6 +69,30 @@ def test_late_rows_go_to_their_own_folder_once(spark, tmp_path):
     assert rows(_stored(spark, late), "record_id") == [("old",)]
 
 
+def test_stream_writes_compressed_files(spark, tmp_path):
+    source, target, late = tmp_path / "in", tmp_path / "out", tmp_path / "late"
+    _put(source, "a.json", [{"record_id": "new", "crawled_at": 100 * DAY}])
+    _run(spark, source, target, tmp_path / "cp", late=str(late), compression="gzip")
+    _put(source, "b.json", [{"record_id": "old", "crawled_at": 5 * DAY}, {"record_id": "new", "crawled_at": 100 * DAY}])
+    _run(spark, source, target, tmp_path / "cp", late=str(late), compression="gzip")
+    assert rows(_stored(spark, target), "record_id") == [("new",)] and rows(_stored(spark, late), "record_id") == [("old",)]
+    assert not list(target.glob("date=*/*.json")) and not list(late.glob("date=*/*.json"))
+
+
+def test_stream_input_is_read_in_two_batches_of_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    from gable.catalog import feeds
+
+    monkeypatch.setattr(feeds, "FILE_RECORDS", 1000)
+    monkeypatch.setattr(feeds, "_written", {})
+    stream = feeds._record_stream(spark, SF)
+    batches = []
+    started = stream.writeStream.foreachBatch(lambda batch, _: batches.append(batch.count()))
+    started.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    files = len(spark.read.text(next(iter(feeds._written.values()))).inputFiles())
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert files == lines // 1000 and len([b for b in batches if b]) in (2, 3) and sum(batches) == feeds.nested_records(spark, SF).count()
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     batch = spark.createDataFrame([("1", 5), ("2", 5)], "record_id string, crawled_at long").withColumn("date", F.lit("2024-01-01").cast("date"))
     target = str(tmp_path / "out")
