@@ -58,7 +58,8 @@ def nearest(
     """Nearest point of the same bucket for each left row; none gives nulls. Ties go to the lower point id.
 
     Buckets of at most ``chunk`` points are arrays, compared inside the row. The points of
-    larger ones are indexed by the cells of a grid (``point_cells``), and the distinct places
+    larger ones are indexed by the cells of a grid (``point_cells``); of points at one place only
+    the lowest id can be found and the others are left out first. The distinct places
     of their left rows look for points cell by cell (``nearest_in_grid``), so a place meets
     the points around it and not those of the whole bucket. Results come back by place.
     Coordinates that are null, infinite or not numbers have no distance.
@@ -66,7 +67,7 @@ def nearest(
     bucket = list(bucket)
     finite = (F.abs(F.col(lat)) < _FAR) & (F.abs(F.col(lon)) < _FAR)
     named = points.select(*bucket, point_id, lat, lon, *carry).na.drop(subset=bucket).where(finite)
-    held = stage(named, "points")
+    held = stage(lowest_at(named, [*bucket, lat, lon], [point_id, *carry]), "points")
     crowded = None
     if row_count(held) > chunk:
         middle = [F.percentile_approx(F.col(c).cast("double"), [0.02, 0.98], 1000).alias(f"__{c}") for c in (lat, lon)]
@@ -89,6 +90,13 @@ def nearest(
     return met.withColumns({c: F.col("__best")[c] for c in [distance, point_id, *carry]}).drop("__best")
 
 
+def lowest_at(points: DataFrame, place: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One point for each place, the lowest by ``order`` (nulls first)."""
+    kept = [c for c in order if c not in place]
+    lowest = points.groupBy(*place).agg(F.min(F.struct(*kept)).alias("__lowest"))
+    return lowest.select(*place, *[F.col("__lowest")[c].alias(c) for c in kept]).select(*points.columns)
+
+
 #: Beyond every finite coordinate.
 _FAR = float("inf")
 

@@ -230,6 +230,25 @@ def test_nearest_with_points_at_one_place(spark):
     assert {r.id: (r.pid, r.distance_m) for r in near.collect()} == _plain_nearest(left, points)
 
 
+def test_nearest_compares_one_point_of_a_place(spark, monkeypatch):
+    # stations of an interchange: 400 points at each of 20 places, which no grid can part
+    points = [(7 * i % 8000, "w", float(i % 20), float(i % 4)) for i in range(8000)]
+    left = [(i, "w", i / 10, i % 9 / 2) for i in range(200)] + [(200, "w", None, 1.0)]
+    pairs = _counted_cells(monkeypatch)
+    near = joins.nearest(spark.createDataFrame(left, PLACES), spark.createDataFrame(points, POINTS), ["ward"], "pid", chunk=8)
+    assert {r.id: (r.pid, r.distance_m) for r in near.collect()} == _plain_nearest(left, points)
+    assert 0 < sum(pairs) <= 20 * 200
+
+
+def test_lowest_at_keeps_the_lowest_id_and_its_fields(spark):
+    points = spark.createDataFrame(
+        [(2, "w", 1.0, 0.0, "b"), (1, "w", 1.0, -0.0, "z"), (1, "w", 1.0, 0.0, "a"), (3, "v", 1.0, 0.0, None), (None, "v", 1.0, 0.0, "n")],
+        "pid long, ward string, latitude double, longitude double, name string",
+    )
+    found = joins.lowest_at(points, ["ward", "latitude", "longitude"], ["pid", "name"])
+    assert found.columns == points.columns and rows(found, "ward", "pid", "name") == [("v", None, "n"), ("w", 1, "a")]
+
+
 def test_month_over_month_gap_and_year_wrap(spark):
     months = spark.createDataFrame(
         [("x", 202512, 202511, 5), ("x", 202601, 202512, 8), ("x", 202603, 202602, 9)], "k string, m int, p int, n long"
