@@ -179,6 +179,33 @@ def test_silver_job_is_incremental_and_quiet_without_input(spark, tmp_path):
     assert jobs.listings_to_silver(catalog, path, schema) == 0
 
 
+def test_cleaning_moves_and_stores_fingerprints_as_bytes(spark, monkeypatch):
+    from gable.plans import silver
+    from gable.plans.adapter import listings
+
+    staged, plain = {}, silver.stage
+    monkeypatch.setattr(silver, "stage", lambda df, label: staged.setdefault(label, df.schema["content_fp"].dataType.simpleString()) and plain(df, label))
+    clean = silver.clean_listings(listings(spark, SF))[0]
+    assert staged == {"unique": "binary"}
+    assert clean.schema["content_fp"].dataType.simpleString() == "string"
+    expected = {r.list_id: r.content_fp for r in silver.with_fingerprint(silver.dedup_by_id(listings(spark, SF))).select("list_id", "content_fp").collect()}
+    stored = clean.select("list_id", "content_fp").collect()
+    assert stored and all(expected[r.list_id] == r.content_fp for r in stored)
+
+
+def test_records_of_the_silver_job_are_compressed(spark, monkeypatch):
+    from gable.catalog import feeds, jobs as job_queries
+    from gable.sources import sinks
+
+    written = []
+    monkeypatch.setattr(feeds, "_written", {})
+    plain = sinks.write_jsonl
+    monkeypatch.setattr(sinks, "write_jsonl", lambda df, path, **options: written.append(path) or plain(df, path, **options))
+    job_queries._silver(spark, SF)
+    files = spark.read.text(f"{written[0]}/date=*").inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
 def _scratch(spark):
     from pathlib import Path
 
