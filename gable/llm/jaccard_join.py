@@ -8,7 +8,8 @@
    (pigeonhole). Empty blocks say nothing; a document keeps them as keys only if its other
    blocks number d or fewer, and K has some to spare so that this is rare.
 2. Equal block words join documents with the smallest id that has the word. Tasks first do
-   so among their own rows, so a key of a third of all rows leaves each task once.
+   so among their own rows, so a key of a third of all rows leaves each task once. A
+   document keeps its smallest head, which its other heads are joined with once.
    Connected components of these joins are clusters: every link lies inside one.
 3. Clusters are split and verified: one-bit parity sketches (a few hundred bytes, folded to
    one width) give Hamming distances, which never exceed the symmetric difference, by a
@@ -47,6 +48,8 @@ GATHER = 1_500_000
 PIECE_BYTES, PIECE_DOCS = 8_000_000, 2048
 #: Bits of a parity sketch.
 LEAST_BITS, MOST_BITS = 256, 4096
+#: How often the heads of documents, then the heads of those heads and so on, are led to the smallest.
+LED = 4
 #: Shingle columns of a matrix product.
 SLAB = 2048
 
@@ -239,6 +242,16 @@ def candidate_keys(rule: Rule):
     return rows
 
 
+def led_to_smallest(pairs: DataFrame) -> DataFrame:
+    """``doc, head`` pairs with the same connected parts: each document by its smallest head, and once each other head with that one.
+
+    Near copies share keys with the same few heads, so their pairs are one for a document and not one for a key.
+    """
+    least = F.min("head").over(Window.partitionBy("doc"))
+    other = F.col("head") != F.col("least")
+    return pairs.withColumn("least", least).select(F.when(other, F.col("head")).otherwise(F.col("doc")).alias("doc"), F.col("least").alias("head")).distinct()
+
+
 def hamming_bound(bits: np.ndarray) -> np.ndarray:
     """Hamming distances of all rows of a matrix of plus and minus ones."""
     return (bits.shape[1] - bits @ bits.T) / 2
@@ -380,7 +393,9 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
         return meta.selectExpr("doc_id", "n AS n_shingles", "doc_id AS class_id", "0L AS n_links", "doc_id AS component_id")
 
     keyed = rows.where("doc_id IS NOT NULL").mapInArrow(candidate_keys(rule), "key long, doc long")
-    joined = keyed.withColumn("head", F.min("doc").over(Window.partitionBy("key"))).where("doc <> head").select("doc", "head").distinct()
+    joined = keyed.withColumn("head", F.min("doc").over(Window.partitionBy("key"))).where("doc <> head").select("doc", "head")
+    for _ in range(LED):
+        joined = led_to_smallest(joined)
     named = classes.select(F.col("doc_id").alias("doc"), F.col("class_id").alias("a"))
     edges = stage(joined, "joined").join(named, "doc").join(named.withColumnsRenamed({"doc": "head", "a": "b"}), "head").select("a", "b").where("a <> b")
     clusters = components(edges)

@@ -80,6 +80,19 @@ def test_large_group_joins_heads_and_not_documents(spark, monkeypatch):
     assert all(n <= 5000 + 2 * pieces**2 for n in counted[1:])
 
 
+def test_documents_keep_one_head_and_heads_are_joined_once(spark):
+    rng = random.Random(5)
+    group = [(doc, head) for doc in range(40, 340) for head in rng.sample(range(40), 12)]
+    other = [(1000, 900), (1001, 1000), (1001, 901), (1001, 901)]
+    given = spark.createDataFrame(group + other, "doc long, head long")
+    led = jaccard_join.led_to_smallest(given)
+    parts = [dict(jaccard_join.components(x.selectExpr("doc AS a", "head AS b")).collect()) for x in (given, led)]
+    assert parts[0] == parts[1] and len(set(parts[0].values())) == 2
+    # 3600 pairs of one group before; now one for each document and some of the 40 heads
+    assert led.where("doc < 900").count() <= 300 + 40 * 39 // 2 and led.where("doc BETWEEN 40 AND 899").count() == 300
+    assert led.where("doc >= 900").count() == 3
+
+
 def test_jaccard_join_empty(none, spark):
     assert jaccard_join.join(none, jaccard_join.Rule(3, 90)).count() == 0
     blank = jaccard_join.join(table(spark, [(1, None), (2, ""), (None, " ")]), jaccard_join.Rule(3, 90))
