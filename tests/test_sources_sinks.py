@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from support import SF, rows
 from gable.plans import silver, vocab
-from gable.runtime import scratch_path
+from gable.runtime import scratch_path, stage
 from gable.sources import readers, sinks
 
 
@@ -74,6 +74,22 @@ def test_append_new_is_idempotent(spark):
     assert rows(spark.table(name)) == [("a", 2), ("b", 3), ("c", 5), (None, 4)]
 
 
+def test_append_new_moves_a_large_batch_once(spark, monkeypatch):
+    # stored keys and the batch meet in one shuffle; a batch that is stored already is not written again
+    name, path = _table(spark, "large")
+    staged = []
+    monkeypatch.setattr(sinks, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(sinks, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    first = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    assert sinks.append_new(first, name, ["k"], path=path) == 3
+    batch = stage(spark.createDataFrame([("a", 9), ("c", 4), ("c", 5), (None, 8), ("d", None)], "k string, v int"))
+    staged.clear()
+    assert sinks.append_new(batch, name, ["k"], path=path) == 2
+    assert staged == ["fresh"]
+    assert sinks.append_new(batch, name, ["k"], path=path) == 0
+    assert {tuple(r) for r in spark.table(name).collect()} == {("a", 1), ("b", 2), (None, 3), ("c", 5), ("d", None)}
+
+
 def test_append_new_latest_mode_and_new_columns(spark):
     name, path = _table(spark, "latest")
     sinks.append_new(spark.createDataFrame([("a", 1, 10)], "k string, at int, v int"), name, ["k"], path=path)
