@@ -62,8 +62,10 @@ def furnishing_flags(furnishing: Column) -> dict[str, Column]:
 
 def trait_flags(traits: Column) -> dict[str, Column]:
     """Risk words win over good words; neither is low."""
-    good = text.contains_any(traits, vocab.GOOD_TRAITS)
-    risk = text.contains_any(traits, vocab.RISK_TRAITS)
+    return trait_classes(text.contains_any(traits, vocab.GOOD_TRAITS), text.contains_any(traits, vocab.RISK_TRAITS))
+
+
+def trait_classes(good: Column, risk: Column) -> dict[str, Column]:
     return {
         "good_quality": scores.flag(good & ~risk),
         "risk_quality": scores.flag(risk),
@@ -123,19 +125,23 @@ def dedup_by_place(df: DataFrame) -> DataFrame:
 
 
 def classify(df: DataFrame) -> DataFrame:
-    """All row-level flags and repairs in one projection."""
-    return df.withColumns(
+    """All row-level flags and repairs; words are looked for once a row and not again in each flag."""
+    traits = F.lower(F.coalesce(F.col("param_pty_characteristics").cast("string"), F.lit("")))
+    lowered = df.withColumn("__traits", traits)
+    words = {"__good": vocab.GOOD_TRAITS, "__risk": vocab.RISK_TRAITS}
+    found = lowered.withColumns({c: text.holds_any(F.col("__traits"), terms) for c, terms in words.items()})
+    return found.withColumns(
         {
             **type_flags(F.col("category_name")),
             **furnishing_flags(F.col("param_furnishing_sell")),
-            **trait_flags(F.col("param_pty_characteristics")),
+            **trait_classes(F.col("__good"), F.col("__risk")),
             **advertiser_flags(F.col("company_ad")),
             **legal_flags(F.col("param_property_legal_document")),
             "rooms": F.coalesce(F.col("rooms"), F.lit(0.0)),
             "ward_name": text.strip_pattern(F.col("ward_name"), vocab.OLD_DISTRICT_SUFFIX),
             "param_price_m2": text.extract_number(F.col("param_price_m2")),
         }
-    )
+    ).drop("__traits", *words)
 
 
 #: Columns the cleaning rules read, with the type an absent one gets.

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gable.functions import dates, scores, text
-from gable.operators import quality
+from gable.operators import quality, shape
 from gable.plans import gold, silver, vocab
 
 
@@ -91,6 +91,16 @@ def test_trait_flags(spark, text_value, flags):
     assert tuple(got) == flags
 
 
+def test_classify_looks_for_each_trait_word_once(spark):
+    frame = spark.createDataFrame([("Hẻm xe hơi",), ("CHƯA CÓ THỔ CƯ, mặt tiền",), (None,)], "param_pty_characteristics string").coalesce(1)
+    flagged = silver.classify(shape.ensure_columns(frame, silver.OPTIONAL_COLUMNS))
+    got = flagged.select("good_quality", "risk_quality", "low_quality")
+    assert [tuple(r) for r in got.collect()] == [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") <= len(vocab.GOOD_TRAITS) + len(vocab.RISK_TRAITS) and not [c for c in flagged.columns if c.startswith("__")]
+
+
+
 @pytest.mark.parametrize(
     ("document", "flags"),
     [("Đã có sổ", (1, 0, 0)), ("Hợp đồng mua bán", (0, 1, 0)), ("Không có sổ", (0, 0, 1)), ("1", (0, 0, 1)), (None, (0, 0, 1)), ("khác", (0, 0, 0))],
