@@ -36,9 +36,9 @@ def not_in_or_null(column: Column, values: Sequence[object]) -> Column:
     return ~column.isin(*values) | column.isNull()
 
 
-def impute_median(df: DataFrame, column: str, *, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
-    """Fill nulls with the global median; an all-null column stays as it is."""
-    middle = quantile_scalar(df, column, 0.5, exact=exact, accuracy=accuracy)
+def impute_median(df: DataFrame, column: str, *, exact: bool = True, accuracy: int = 10_000, of: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the global median, of the rows of ``of`` if given; an all-null column stays as it is."""
+    middle = quantile_scalar(df if of is None else of, column, 0.5, exact=exact, accuracy=accuracy)
     return df.withColumn(column, F.coalesce(F.col(column), middle.cast("double")))
 
 

@@ -11,8 +11,9 @@ from gable.operators import dedup, groups, joins, quality, shape
 from gable.plans import vocab
 from gable.runtime import stage
 
-# Columns of the content fingerprint and of the silver table.
+# Columns of the content fingerprint, those of them that nothing else reads, and columns of the silver table.
 FINGERPRINT_COLUMNS = ["subject", "body", "price_string", "latitude", "longitude", "size", "account_id"]
+PRINTED_ONLY = ["subject", "body", "price_string"]
 ADDRESS_COLUMNS = ["region_name", "area_name", "street_name", "ward_name"]
 SILVER_COLUMNS = [
     "snapshot_date", "crawled_at_ts", "ad_id", "list_id", "account_id", "account_name", "price", "size", "rooms",
@@ -93,8 +94,8 @@ def newest_first(df: DataFrame, preferred: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in by_time] + [F.col(c).asc_nulls_first() for c in ids]
 
 
-def dedup_by_id(df: DataFrame) -> DataFrame:
-    return dedup.latest_by(df, ["list_id"], newest_first(df, "list_time"))
+def dedup_by_id(df: DataFrame, latest: Callable[..., DataFrame] = dedup.latest_by) -> DataFrame:
+    return latest(df, ["list_id"], newest_first(df, "list_time"))
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -115,17 +116,33 @@ def _time_column(df: DataFrame) -> str:
     return "crawled_at_ts" if "crawled_at_ts" in df.columns else "list_time"
 
 
-def dedup_by_content(df: DataFrame) -> DataFrame:
-    return dedup.latest_by(df, ["content_fp"], newest_first(df, _time_column(df)))
+def dedup_by_content(df: DataFrame, latest: Callable[..., DataFrame] = dedup.latest_by) -> DataFrame:
+    return latest(df, ["content_fp"], newest_first(df, _time_column(df)))
 
 
-def dedup_by_place(df: DataFrame) -> DataFrame:
+def dedup_by_place(df: DataFrame, latest: Callable[..., DataFrame] = dedup.latest_by, **options) -> DataFrame:
     keys = [*dedup.geo_keys(), F.col("price"), F.col("size")]
-    return dedup.latest_by(df, keys, newest_first(df, _time_column(df)))
+    return latest(df, keys, newest_first(df, _time_column(df)), **options)
+
+
+def repair(df: DataFrame) -> DataFrame:
+    """All row-level repairs."""
+    return df.withColumns(
+        {
+            "rooms": F.coalesce(F.col("rooms"), F.lit(0.0)),
+            "ward_name": text.strip_pattern(F.col("ward_name"), vocab.OLD_DISTRICT_SUFFIX),
+            "param_price_m2": text.extract_number(F.col("param_price_m2")),
+        }
+    )
 
 
 def classify(df: DataFrame) -> DataFrame:
-    """All row-level flags and repairs; words are looked for once a row and not again in each flag."""
+    """All row-level flags and repairs."""
+    return with_flags(repair(df))
+
+
+def with_flags(df: DataFrame) -> DataFrame:
+    """All row-level flags; words are looked for once a row and not again in each flag."""
     traits = F.lower(F.coalesce(F.col("param_pty_characteristics").cast("string"), F.lit("")))
     lowered = df.withColumn("__traits", traits)
     words = {"__good": vocab.GOOD_TRAITS, "__risk": vocab.RISK_TRAITS}
@@ -137,9 +154,6 @@ def classify(df: DataFrame) -> DataFrame:
             **trait_classes(F.col("__good"), F.col("__risk")),
             **advertiser_flags(F.col("company_ad")),
             **legal_flags(F.col("param_property_legal_document")),
-            "rooms": F.coalesce(F.col("rooms"), F.lit(0.0)),
-            "ward_name": text.strip_pattern(F.col("ward_name"), vocab.OLD_DISTRICT_SUFFIX),
-            "param_price_m2": text.extract_number(F.col("param_price_m2")),
         }
     ).drop("__traits", *words)
 
@@ -170,29 +184,35 @@ def clean_listings(
     """Flat listings to silver rows plus the (label, code) tables used.
 
     Given code tables are kept and extended, so codes stay stable over runs.
-    Deduplicated rows are written once because the median, the codes and the
-    outlier bounds each read them. A rule whose column is absent does not
-    apply; flags then come out as for a null. Rows without a ``list_id`` count
-    as one listing, as defined, if the column is there at all. ``watch`` sees
-    the rows after each step by name.
+    Rows are written once, numbered, and stay where they lie: the dedups shuffle
+    keys and times alone and mark what stays, which the median, the codes and the
+    outlier bounds each read. Flags are made for the rows that are left. A rule
+    whose column is absent does not apply; flags then come out as for a null. Rows
+    without a ``list_id`` count as one listing, as defined, if the column is there
+    at all. ``watch`` sees the rows after each step by name.
     """
     rows = narrowed(flat)
     given = set(rows.columns)
+    rows = packed_fingerprint(with_fingerprint(rows)).drop(*PRINTED_ONLY)
+    rows = written = stage(dedup.numbered(rows), "unique")
     if "list_id" in given:
-        rows = dedup_by_id(rows)
-    rows = packed_fingerprint(with_fingerprint(watch(rows, "one_per_id")))
-    unique = watch(dedup_by_content(rows) if given & set(FINGERPRINT_COLUMNS) else rows, "one_per_content")
+        rows = dedup_by_id(rows, dedup.latest_marked)
+    rows = watch(rows, "one_per_id")
+    unique = watch(dedup_by_content(rows, dedup.latest_marked) if given & set(FINGERPRINT_COLUMNS) else rows, "one_per_content")
     addressed = watch(quality.drop_any_null(unique, ADDRESS_COLUMNS), "with_address")
-    kept = stage(shape.ensure_columns(addressed, OPTIONAL_COLUMNS), "unique")
-    flagged = classify(quality.impute_median(kept, "number_of_images", exact=exact))
+    kept = shape.ensure_columns(addressed, OPTIONAL_COLUMNS)
+    repaired = repair(kept)
 
-    area_codes = _codes(area_codes, flagged, "area_name")
-    ward_codes = _codes(ward_codes, flagged, "ward_name")
+    area_codes = _codes(area_codes, repaired, "area_name")
+    ward_codes = _codes(ward_codes, repaired, "ward_name")
 
-    priced = groups.remove_iqr_outliers(flagged, ["area_name"], "param_price_m2", exact=exact)
+    priced = groups.remove_iqr_outliers(repaired, ["area_name"], "param_price_m2", exact=exact)
     consistent = watch(quality.drop_inconsistent(watch(priced, "without_outliers")), "consistent_size")
     sized = consistent.withColumn("size", F.round("size", 2))
-    coded = watch(dedup_by_place(sized) if given.issuperset(PLACE_COLUMNS) else sized, "one_per_place")
+    if given.issuperset(PLACE_COLUMNS):
+        single = dedup_by_place(sized, dedup.latest_marked, of=shape.ensure_columns(written, OPTIONAL_COLUMNS))
+        sized = repair(single).withColumn("size", F.round("size", 2))
+    coded = with_flags(quality.impute_median(watch(sized, "one_per_place"), "number_of_images", exact=exact, of=kept))
     if "category_name" in given:
         coded = shape.one_hot(coded, "category_name", text.slug_label, labels_from=kept)
     coded = joins.encode_labels(coded, "area_name", area_codes, "area_name_encoded", staged=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from support import rows
 from gable.operators import dedup, groups, joins, ordered, quality, series, shape
 from gable.plans import silver
-from gable.runtime import attach
+from gable.runtime import attach, stage
 
 
 @pytest.fixture(scope="module")
@@ -112,6 +112,29 @@ def test_latest_by_limits_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_latest_marked_keeps_the_rows_of_latest_by_and_ranks_only_shared_keys(spark, monkeypatch):
+    odd = F.when(F.col("id") % 2 == 0, F.lit(-0.0)).when(F.col("id") % 5 == 0, F.lit(float("nan"))).otherwise(0.0)
+    shared = F.when(F.col("id") % 7 != 0, F.greatest(F.col("id"), F.lit(9_000)))  # null, one hot key, single ones
+    frame = spark.range(20_000).select("id", shared.alias("k"), odd.alias("z"), (F.col("id") * 7919 % 101).alias("v"), F.lit("wide").alias("w"))
+    written, order = stage(dedup.numbered(frame.repartition(5)), "wide"), [F.col("v").desc_nulls_last(), F.col("id").asc()]
+    ranked, plain = [], dedup.latest_by
+    monkeypatch.setattr(dedup, "latest_by", lambda df, *a, **k: ranked.append(df.count()) or plain(df, *a, **k))
+    for keys in (["k"], ["k", "z"], ["z"], ["id"], [F.round("z", 2), F.col("k")]):
+        for of in (None, written):
+            kept = dedup.latest_marked(written, keys, order, of=of)
+            assert kept.columns == written.columns
+            assert rows(kept, "id", "k", "w") == rows(plain(frame, keys, order), "id", "k", "w")
+    several = sum(i % 7 == 0 or i <= 9_000 for i in range(20_000))  # rows of the null key and of the hot one
+    assert several <= ranked[0] <= several + 10 and ranked[6] <= 10
+    assert dedup.latest_marked(written.where("false"), ["k"], order).count() == 0
+
+
+def test_marks_that_are_too_many_to_broadcast_are_joined(spark, monkeypatch):
+    frame = stage(dedup.numbered(spark.range(30_000).withColumn("k", F.col("id") % 20_000)), "wide")
+    monkeypatch.setattr(dedup, "CHUNKS", 0)
+    assert rows(dedup.latest_marked(frame, ["k"], [F.col("id").desc()]), "id") == sorted(((i,) for i in range(10_000, 30_000)), key=lambda r: str(r[0]))
+
+
 def test_duplicate_reports(spark):
     frame = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (4, None), (5, None)], "id long, k string")
     groups_found = dedup.duplicate_groups(frame, ["k"], ["id"])
