@@ -206,6 +206,25 @@ def test_ledger_reads_only_dates_and_buckets_of_the_batch(spark, tmp_path):
     assert ledger.may_hold(_batch(spark, [None])) is None or _pairs(ledger.may_hold(one.limit(0))) == []
 
 
+def test_ledger_makes_and_lists_few_folders_of_small_buckets(spark, tmp_path, monkeypatch):
+    from gable.streaming import ledger as module
+
+    days = [f"2024-01-0{n}" for n in range(1, 5)]
+    batch = spark.range(400).select(F.col("id").cast("string").alias("record_id"), F.explode(F.array(*[F.lit(day).cast("date") for day in days])).alias("date"))
+    ledger = IdLedger(spark, str(tmp_path / "ids"), bucket_ids=1, max_recent=0)
+    ledger.add(batch.where("CAST(record_id AS INT) < 350"))
+    ledger.add(batch.where("CAST(record_id AS INT) >= 300"))
+    calls = []
+    real = module.file_system
+    monkeypatch.setattr(module, "file_system", lambda *args: (calls.append(args), real(*args))[1])
+    held = ledger.dates([*days, "2024-03-01"])
+    assert [len(held[day]) for day in days] == [32] * 4 and held["2024-03-01"] == []
+    assert sum(b.files for b in held[days[0]]) <= 64 and all(b.size > 0 for b in held[days[0]])
+    assert _pairs(ledger.may_hold(batch)) == sorted((day, str(i)) for day in days for i in range(400))
+    assert len(calls) <= 4  # folders are not listed one by one
+    assert ledger.buckets_for(100 << 16) == 128 and ledger.buckets_for(1 << 30) == 256
+
+
 def test_ledger_survives_a_crash_within_maintenance(spark, tmp_path, monkeypatch):
     ledger = IdLedger(spark, str(tmp_path / "ids"), bucket_ids=20, max_recent=1, max_files=1)
     ledger.add(_batch(spark, range(10)))
