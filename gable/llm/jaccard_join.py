@@ -47,7 +47,9 @@ GATHER = 1_500_000
 #: Bounds of a piece of a cluster: bytes of its sets, and documents.
 PIECE_BYTES, PIECE_DOCS = 8_000_000, 2048
 #: Bits of a parity sketch.
-LEAST_BITS, MOST_BITS = 256, 4096
+LEAST_BITS, MOST_BITS = 256, 16_384
+#: Documents of a piece that is compared by sketches; rows of a matrix product there, and their bits.
+SKETCH_DOCS, BLOCK, BLOCK_BITS = 8192, 2048, 1 << 23
 #: How often the heads of documents, then the heads of those heads and so on, are led to the smallest.
 LED = 4
 #: Shingle columns of a matrix product.
@@ -95,8 +97,9 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
             for h in hashes[begins[d] : begins[d] + counts[d]]:
                 x = mix(x * np.uint64(0x9E3779B97F4A7C15) + h)
             value[place[d]] = mix(x + np.uint64(counts[d]))[0]
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
+    ends = np.cumsum(n)
+    for lo, hi in zip((ends - n).tolist(), ends.tolist(), strict=True):
+        value[lo:hi].sort()
     keep = np.ones(len(doc), dtype=bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return value[keep], np.bincount(doc[keep], minlength=len(counts)).astype(np.int64)
@@ -114,29 +117,51 @@ def signatures(sets: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first, second
 
 
-def parity_bits(s: np.ndarray, n: int) -> np.ndarray:
-    """One bit for each slot, flipped by each shingle of a set; about two slots a shingle, within bounds."""
-    m = int(min(max(LEAST_BITS, 2 ** math.ceil(math.log2(2 * max(n, 1)))), MOST_BITS))
+def sketch_bits(n: int, rule: Rule) -> int:
+    """Slots of a sketch: the fewest, within bounds, at which sets without common shingles lie beyond the bound of linked ones.
+
+    Their distance is about half the slots, with a deviation of half the root; the bound is taken a fifth
+    larger, as a set is compared with larger ones of its band and the next.
+    """
+    bound = 1.2 * int(rule.differences(np.int64(2 * n)))
+    m = LEAST_BITS
+    while m < MOST_BITS and m / 2 - 3.25 * math.sqrt(m) < bound:
+        m *= 2
+    return m
+
+
+def parity_bits(s: np.ndarray, m: int) -> np.ndarray:
+    """One bit for each of ``m`` slots, flipped by each shingle of a set."""
     return (np.bincount((mix(s + np.uint64(5)) % np.uint64(m)).astype(np.int64), minlength=m) & 1).astype(np.uint8)
 
 
+def sketch(s: np.ndarray, rule: Rule) -> bytes:
+    return np.packbits(parity_bits(s, sketch_bits(len(s), rule))).tobytes()
+
+
 def folded(blobs: list[bytes]) -> np.ndarray:
-    """Sketches as rows of plus and minus ones, all of the width of the narrowest; folding a parity sketch gives a parity sketch."""
-    m = 8 * min(map(len, blobs))
-    rows = np.empty((len(blobs), m), dtype=np.float32)
-    for i, blob in enumerate(blobs):
-        bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8)).reshape(-1, m)
-        rows[i] = 1 - 2.0 * (bits.sum(axis=0) & 1)
+    """Sketches as packed rows, all of the width of the narrowest; folding a parity sketch gives a parity sketch."""
+    widths = np.array([len(b) for b in blobs])
+    rows = np.empty((len(blobs), widths.min()), dtype=np.uint8)
+    for width in np.unique(widths):
+        same = np.flatnonzero(widths == width)
+        whole = np.frombuffer(b"".join([blobs[i] for i in same]), dtype=np.uint8)
+        rows[same] = np.bitwise_xor.reduce(whole.reshape(len(same), -1, rows.shape[1]), axis=1)
     return rows
 
 
+def signs(packed: np.ndarray) -> np.ndarray:
+    """Packed sketches as rows of plus and minus ones."""
+    return 1 - 2 * np.unpackbits(packed, axis=1).astype(np.float32)
+
+
 def describe(rule: Rule):
     def rows(batches):
         for batch in pieces(batches, size=1 << 22):
             sets, n = shingle_sets(batch.column("text"), rule.words)
             first, second = signatures(sets, n)
             ends = np.cumsum(n)
-            sketches = [np.packbits(parity_bits(sets[e - k : e], k)).tobytes() for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+            sketches = [sketch(sets[e - k : e], rule) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
             arrays = [batch.column("doc_id"), pa.array(n), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "s1", "s2", "sketch"])
 
@@ -149,21 +174,75 @@ def joined_heads(head: np.ndarray, label: np.ndarray) -> np.ndarray:
     return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
 
 
+def near_parts(packed: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, rule: Rule) -> np.ndarray:
+    """Smallest row in the part of each row that pairs of ``left`` and ``right`` within the Hamming bound make, block by block."""
+    edges = [np.zeros((0, 2), dtype=np.int64)]
+    bits = 8 * packed.shape[1]
+    step = min(BLOCK, BLOCK_BITS // bits)
+    lefts, rights = ([side[lo : lo + step] for lo in range(0, len(side), step)] for side in (left, right))
+    if left is right:
+        rights = lefts
+    for i, a in enumerate(lefts):
+        x = signs(packed[a])
+        for b in rights[i if rights is lefts else 0 :]:
+            same = x @ (x if b is a else signs(packed[b])).T
+            # most pairs are beyond the bound of the largest sets; the others have theirs
+            close = same >= bits - 2 * rule.differences(n[a].max() + n[b].max()) - 0.5
+            if b is a:
+                np.fill_diagonal(close, False)
+            u, v = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
+            least = bits - 2 * rule.differences(n[a][u][:, None] + n[b][v][None, :]) - 0.5
+            edges.append(star_edges(same[np.ix_(u, v)] >= least, a[u], b[v]))
+    return parts_of_edges(len(packed), np.concatenate(edges))
+
+
+def star_edges(graph: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A few pairs with the same connected parts as the pairs of ``a`` and ``b`` that a boolean matrix marks."""
+    label = np.arange(len(a))
+    met = graph.any(axis=0)
+    graph, b = graph[:, met], b[met]
+    while True:
+        there = np.where(graph, label[:, None], len(a)).min(axis=0, initial=len(a))
+        new = np.minimum(label, np.where(graph, there[None, :], len(a)).min(axis=1, initial=len(a)))
+        new = new[new]
+        if (new == label).all():
+            return np.concatenate((np.stack([a, a[label]], axis=1), np.stack([b, a[there]], axis=1)))
+        label = new
+
+
+def parts_of_edges(size: int, edges: np.ndarray) -> np.ndarray:
+    """Smallest row in the connected part of each of ``size`` rows."""
+    label = np.arange(size)
+    u, v = edges.T
+    while True:
+        new = label.copy()
+        np.minimum.at(new, label[u], label[v])
+        np.minimum.at(new, label[v], label[u])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def near(rule: Rule):
     """For a group of pieces: ``a, b``: heads that pairs within the Hamming bound lead together.
 
-    Where a document is its own head, that is each document and the smallest of its part.
+    Where a document is its own head, that is each document and the smallest of its part. Of two
+    pieces only pairs across are compared.
     """
 
     def piece(table: pa.Table) -> pa.Table:
         cluster, docs = table.column("cluster").to_numpy(), table.column("doc_id").to_numpy()
         n, blobs, head = table.column("n").to_numpy(), table.column("sketch").to_pylist(), table.column("head").to_numpy()
+        side, crossed = table.column("side").to_numpy(), table.column("crossed").to_numpy(zero_copy_only=False)
         order = np.lexsort((docs, cluster))
         out = []
         for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
-            size = n[rows]
-            graph = hamming_bound(folded([blobs[i] for i in rows])) <= rule.differences(size[:, None] + size[None, :]) + 0.25
-            out.append(joined_heads(head[rows], parts_of(graph)))
+            packed, size = folded([blobs[i] for i in rows]), n[rows]
+            left = right = np.arange(len(rows))
+            if crossed[rows[0]]:
+                left, right = np.flatnonzero(side[rows] == 0), np.flatnonzero(side[rows] == 1)
+            out.append(joined_heads(head[rows], near_parts(packed, size, left, right, rule)))
         a, b = np.concatenate(out).astype(np.int64).T
         give_back()
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
@@ -186,7 +265,7 @@ def block_keys(sets: np.ndarray, n: np.ndarray, rule: Rule) -> tuple[np.ndarray,
         base = np.cumsum(k) - k
         doc = np.repeat(np.arange(len(n)), n)
         slot = base[doc] + (mix(sets ^ np.uint64(0x5BD1E995)) % np.repeat(k, n).astype(np.uint64)).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
+        order = np.argsort(slot)
         slot, value = slot[order], mix(sets + np.uint64(77))[order]
         begin = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
         word, slot = np.bitwise_xor.reduceat(value, begin), slot[begin]
@@ -209,15 +288,18 @@ def candidate_keys(rule: Rule):
     def passed(keys: np.ndarray, docs: np.ndarray):
         if not len(keys):  # texts without words alone
             return
-        order = np.lexsort((docs, keys))
+        order = np.argsort(keys)
         keys, docs = keys[order], docs[order]
         first = np.concatenate(([True], keys[1:] != keys[:-1]))
-        heads = docs[first][np.cumsum(first) - 1]
-        own = np.unique(np.stack([docs, heads], axis=1)[docs != heads], axis=0)
+        least = np.minimum.reduceat(docs, np.flatnonzero(first))
+        heads = least[np.cumsum(first) - 1]
+        own = np.stack([docs, heads], axis=1)[docs != heads]
+        own = own[np.lexsort((own[:, 1], own[:, 0]))]
+        own = own[np.concatenate(([True], (own[1:] != own[:-1]).any(axis=1)))[: len(own)]]
         with np.errstate(over="ignore"):
             tie = mix(mix(own[:, 0].astype(np.uint64)) + own[:, 1].astype(np.uint64) * np.uint64(3) + np.uint64(0xED6E))
         key = np.concatenate((keys[first], tie, tie)).view(np.int64)
-        doc = np.concatenate((docs[first], own[:, 0], own[:, 1]))
+        doc = np.concatenate((least, own[:, 0], own[:, 1]))
         for lo in range(0, len(key), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + (1 << 16)]), pa.array(doc[lo : lo + (1 << 16)])], ["key", "doc"])
 
@@ -298,8 +380,7 @@ def links(sets: list[np.ndarray], side: np.ndarray, cross: bool, rule: Rule) ->
     found = np.zeros((len(sets), len(sets)), dtype=bool)
     groups = [np.arange(len(sets))]
     if len(sets) > 16:
-        sketches = [np.packbits(parity_bits(s, len(s))).tobytes() for s in sets]
-        close = hamming_bound(folded(sketches)) <= rule.differences(n[:, None] + n[None, :]) + 0.25
+        close = hamming_bound(signs(folded([sketch(s, rule) for s in sets]))) <= rule.differences(n[:, None] + n[None, :]) + 0.25
         label = parts_of(close)
         groups = [np.flatnonzero(label == g) for g in np.unique(label)]
     for g in groups:
@@ -334,18 +415,22 @@ def verify(rule: Rule):
     return piece
 
 
-def pieces_of(members: DataFrame, rule: Rule, largest: int) -> DataFrame:
-    """``doc_id, cluster, tasks`` (array of ``task, side, crossed``) for the members of clusters."""
-    sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("docs"))
+def pieces_of(members: DataFrame, rule: Rule, largest: int, words: str, most_docs: int) -> DataFrame:
+    """``doc_id, cluster, tasks`` (array of ``task, side, crossed``) for the members of clusters.
+
+    ``words`` are the 8-byte words that a document brings into its pieces, as SQL.
+    """
+    members = members.withColumn("words", F.expr(words))
+    sizes = members.groupBy("cluster").agg(F.sum("words").alias("total"), F.count(F.lit(1)).alias("docs"))
     marked = members.join(sizes, "cluster")
-    small = f"8 * total <= {PIECE_BYTES} AND docs <= {PIECE_DOCS}"
-    bins = sizes.where(small).agg(F.sum("total")).first()[0] or 0
-    n_bins = 1 + int(8 * bins // PIECE_BYTES)
+    small = f"8 * total <= {PIECE_BYTES} AND docs <= {most_docs}"
+    total, docs = sizes.where(small).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("docs"), F.lit(0))).first()
+    n_bins = 1 + int(max(8 * total // PIECE_BYTES, docs // PIECE_DOCS))
     few = marked.where(small).selectExpr("doc_id", "cluster", f"array(struct(pmod(xxhash64('bin', cluster), {n_bins}) AS task, 0 AS side, false AS crossed)) AS tasks")
     firsts = rule.bands(largest)
     band = F.expr(f"size(filter(array({','.join(map(str, firsts))}), f -> f <= n)) - 1")
     big = marked.where(f"NOT ({small})").withColumn("band", band)
-    dealt = big.groupBy("cluster", "band").agg(F.expr(f"cast(greatest(ceil(8 * sum(n) / {PIECE_BYTES}), ceil(count(1) / {PIECE_DOCS})) AS int)").alias("cuts"))
+    dealt = big.groupBy("cluster", "band").agg(F.expr(f"cast(greatest(ceil(8 * sum(words) / {PIECE_BYTES}), ceil(count(1) / {most_docs})) AS int)").alias("cuts"))
     dealt = stage(dealt, "cuts")
     here, above, below = dealt, dealt.selectExpr("cluster", "band - 1 AS band", "cuts AS up"), dealt.selectExpr("cluster", "band + 1 AS band", "cuts AS down")
     cut = big.join(here, ["cluster", "band"]).join(above, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left")
@@ -420,9 +505,9 @@ def join(docs: DataFrame, rule: Rule) -> DataFrame:
         return alone.unionByName(stage(tasks(several, True).groupBy("task").applyInArrow(check, schema), label))
 
     # sketches are small, so the clusters of shared blocks come apart before any set is sent
-    sketched = pieces_of(of(clusters), rule, largest).join(meta.select("doc_id", "n", "sketch"), "doc_id").select("doc_id", "n", "cluster", "tasks", "sketch")
+    sketched = pieces_of(of(clusters), rule, largest, f"4 + least(n div 32, {MOST_BITS // 64})", SKETCH_DOCS).join(meta.select("doc_id", "n", "sketch"), "doc_id").select("doc_id", "n", "cluster", "tasks", "sketch")
     members = of(components(compared(sketched, near(rule), "a long, b long", "near")))
-    sets = sized_join(rows, pieces_of(members, rule, largest), ["doc_id"], "inner").select("doc_id", "cluster", "tasks", "text")
+    sets = sized_join(rows, pieces_of(members, rule, largest, "n", PIECE_DOCS), ["doc_id"], "inner").select("doc_id", "cluster", "tasks", "text")
     sets = sets.mapInArrow(with_sets(rule), SET_ROWS)
     found = compared(sets, verify(rule), "a long, b long, links long", "links")
     counts = found.where("links IS NOT NULL").groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("n_links"))

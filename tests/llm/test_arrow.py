@@ -80,6 +80,42 @@ def test_large_group_joins_heads_and_not_documents(spark, monkeypatch):
     assert all(n <= 5000 + 2 * pieces**2 for n in counted[1:])
 
 
+def test_sketches_are_compared_in_few_pieces(spark, monkeypatch):
+    """A cluster that common passages hold together is dealt to few tasks by sketches, however long its texts."""
+    dealt, plain = [], jaccard_join.pieces_of
+    monkeypatch.setattr(jaccard_join, "PIECE_BYTES", 100_000)
+
+    def pieces_of(members, *about):
+        dealt.append(plain(members, *about))
+        return dealt[-1]
+
+    monkeypatch.setattr(jaccard_join, "pieces_of", pieces_of)
+    base = prose(3, 120)
+    docs = table(spark, [(i, changed(base, 1, i)) for i in range(600)])
+    jaccard_join.join(docs, jaccard_join.Rule(3, 90)).count()
+    sketched, counted = [frame.agg(F.max(F.size("tasks"))).first()[0] for frame in dealt]
+    assert sketched <= 2 and counted >= 6
+
+
+@pytest.mark.parametrize("block", [2048, 64])
+def test_parts_by_blocks_are_those_of_all_pairs(block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rule, rng = jaccard_join.Rule(5, 80), np.random.default_rng(4)
+    sets = []
+    for i in range(300):
+        new = rng.integers(0, 1 << 62, int(rng.integers(150, 900))).astype(np.uint64)
+        sets.append(np.unique(np.concatenate((sets[-1][len(new) // 20 :], new[: len(new) // 20])) if i % 3 else new))
+    n = np.array([len(s) for s in sets])
+    packed = jaccard_join.folded([jaccard_join.sketch(s, rule) for s in sets])
+    close = jaccard_join.hamming_bound(jaccard_join.signs(packed)) <= rule.differences(n[:, None] + n[None, :]) + 0.25
+    rows = np.arange(300)
+    assert (jaccard_join.near_parts(packed, n, rows, rows, rule) == jaccard_join.parts_of(close)).all()
+    assert 1 < len(np.unique(jaccard_join.parts_of(close))) < 200
+    left, right = rows[rows % 2 == 0], rows[rows % 2 == 1]
+    across = close & ((rows[:, None] + rows[None, :]) % 2 == 1) | np.eye(300, dtype=bool)
+    assert (jaccard_join.near_parts(packed, n, left, right, rule) == jaccard_join.parts_of(across)).all()
+
+
 def test_documents_keep_one_head_and_heads_are_joined_once(spark):
     rng = random.Random(5)
     group = [(doc, head) for doc in range(40, 340) for head in rng.sample(range(40), 12)]
