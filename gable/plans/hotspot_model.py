@@ -222,13 +222,22 @@ def fit(train: DataFrame, *, boosted: bool = False, trees: int = 40, depth: int
 
     Spark trains both in parallel; boosting runs ``trees`` rounds for each level. Names come in
     as their statistics (``target_statistics``), so neither the driver nor a tree node grows
-    with the number of names.
+    with the number of names. A null is filled with the median of its column; a column without
+    any value in the training rows says nothing and is 0 throughout. Without training rows there
+    is no model: ``None``.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-    from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 
+    train = _doubles(train)
+    taught = train.filter(F.col("target_hotspot_level").isNotNull())
+    rows, *valued = taught.agg(F.count("*"), *[F.count_if(F.col(c).isNotNull() & ~F.isnan(c)) for c in NUMERIC]).first()
+    if rows == 0:
+        return None
     filled = [f"{c}__filled" for c in NUMERIC]
+    known = [c for c, n in zip(NUMERIC, valued, strict=True) if n]
+    absent = ", ".join(f"0D AS `{c}__filled`" for c in NUMERIC if c not in known)
     if boosted:
         one = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.1, subsamplingRate=0.7)
         last = OneVsRest(classifier=one, parallelism=len(LEVELS))
@@ -236,11 +245,12 @@ def fit(train: DataFrame, *, boosted: bool = False, trees: int = 40, depth: int
         last = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
     stages = [
         StringIndexer(inputCol="target_hotspot_level", outputCol="label", handleInvalid="skip"),
-        Imputer(inputCols=NUMERIC, outputCols=filled, strategy="median"),
+        *([Imputer(inputCols=known, outputCols=[f"{c}__filled" for c in known], strategy="median")] if known else []),
+        *([SQLTransformer(statement=f"SELECT *, {absent} FROM __THIS__")] if absent else []),
         VectorAssembler(inputCols=filled + ENCODED, outputCol="features", handleInvalid="keep"),
         last,
     ]
-    return Pipeline(stages=stages).fit(_doubles(train))
+    return Pipeline(stages=stages).fit(taught)
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -248,20 +258,30 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 def predict(model, df: DataFrame) -> DataFrame:
-    """Add ``predicted_level`` to every row with target statistics."""
+    """Add ``predicted_level`` to every row with target statistics; without a model each level is as likely, and the first is named."""
     from pyspark.ml.feature import IndexToString
 
+    if model is None:
+        return df.withColumn("predicted_level", F.lit(LEVELS[0]))
     labels = model.stages[0].labels
-    scored = model.transform(_doubles(df))
+    scored = _doubles(df)
+    for step in model.stages[1:]:  # the first one codes levels, and would leave out rows of a level that it was not taught
+        scored = step.transform(scored)
     return IndexToString(inputCol="prediction", outputCol="predicted_level", labels=labels).transform(scored)
 
 
 def importances(model) -> list[tuple[str, float]]:
-    """Feature importances, highest first; a categorical feature has the sum of its statistics."""
-    last = model.stages[-1]
-    models = getattr(last, "models", [last])
-    weights = sum(m.featureImportances.toArray() for m in models) / len(models)
+    """Feature importances, highest first; a categorical feature has the sum of its statistics.
+
+    They sum to one: a level whose trees never split adds nothing, and where none split all features weigh the same.
+    """
+    models = [] if model is None else getattr(model.stages[-1], "models", [model.stages[-1]])
+    weights = sum((m.featureImportances.toArray() for m in models), start=0.0)
+    total = float(sum(weights)) if models else 0.0
     summed = dict.fromkeys(NUMERIC + CATEGORICAL, 0.0)
+    if total == 0:
+        return [(name, 1 / len(summed)) for name in summed]
+    weights = weights / total
     for name, weight in zip(NUMERIC + ENCODED, map(float, weights), strict=True):
         summed[name if name in summed else name.rsplit("__", 1)[0]] += weight
     return sorted(summed.items(), key=lambda pair: -pair[1])

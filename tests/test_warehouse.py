@@ -116,6 +116,25 @@ def test_model_fits_and_ranks_features(tables, options):
     assert {r[0] for r in scored.select("predicted_level").distinct().collect()} <= set(hotspot_model.LEVELS)
 
 
+@pytest.mark.parametrize("case", ["no training rows", "columns without values", "two rows of one level"])
+def test_model_of_a_poor_training_period(spark, tables, case):
+    dataset = tables["vw_ml_hotspot_dataset"]
+    early = F.col("snapshot_date") <= F.lit("2024-03-15").cast("date")
+    if case == "no training rows":
+        dataset = dataset.where(~early)
+    elif case == "columns without values":
+        dataset = dataset.withColumns({c: F.when(~early, F.col(c)) for c in ("price_per_m2_lag_1", "nearest_metro_distance_m")})
+    else:
+        few = dataset.where(early & (F.col("target_hotspot_level") == "Low")).orderBy("snapshot_date", *hotspot_model.PLACE).limit(2)
+        dataset = dataset.where(~early).unionByName(few)
+    scored, weights = hotspot_model.train_and_score(dataset, "2024-03-15", "2024-04-07", boosted=True, trees=2, depth=2)
+    expected = hotspot_model.time_split(hotspot_model.training_rows(dataset), "2024-03-15", "2024-04-07").groupBy("split").count()
+    assert rows(scored, "split", "row_count") == rows(expected)
+    assert all(0 <= r.accuracy <= 1 and 0 <= r.macro_f1 <= 1 for r in scored.collect())
+    found = [r.importance for r in weights.collect()]
+    assert len(found) == 52 and sum(found) == pytest.approx(1)
+
+
 def test_model_job_stores_scores_and_weights(spark, tables):
     dataset = tables["vw_ml_hotspot_dataset"]
     hotspot_model.job_hotspot_model(dataset, "2024-03-15", "2024-04-07", "model_scores", "model_weights", trees=2, depth=2)
