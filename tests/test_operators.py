@@ -332,6 +332,15 @@ def test_one_hot_labels_of_one_name_share_a_flag(spark):
     assert rows(got, "v", "cat_a_b", "cat_c") == [("a b", 1, 0), ("a-b", 1, 0), ("c", 0, 1), (None, 0, 0)]
 
 
+def test_sanitize_floats_leaves_what_holds_none(spark):
+    frame = spark.sql("SELECT struct('a' AS t, struct(1 AS i) AS s) AS plain, map('k', 1) AS m, array(1) AS a, -double('inf') AS low, double('nan') AS no, float('inf') AS high, -1.5D AS x")
+    clean = shape.sanitize_floats(frame.repartition(1))
+    plan = clean._jdf.queryExecution().analyzed().toString()
+    assert "isnan" not in plan.lower() and "transform" not in plan and "named_struct(t, plain" not in plan
+    row = clean.first()
+    assert (row.low, row.no, row.high, row.x) == (None, None, None, -1.5) and row.plain.s.i == 1 and (row.m, row.a) == ({"k": 1}, [1])
+
+
 def test_sanitize_floats_nested(spark):
     frame = spark.sql(
         "SELECT double('NaN') AS a, array(double('Infinity'), 1D) AS b, map('k', double('-Infinity')) AS c, named_struct('d', float('NaN'), 'e', 2) AS s"

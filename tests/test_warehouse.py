@@ -212,6 +212,21 @@ def test_cleaning_moves_and_stores_fingerprints_as_bytes(spark, monkeypatch):
     assert stored and all(expected[r.list_id] == r.content_fp for r in stored)
 
 
+def test_dedup_by_place_does_not_find_outliers_again(spark, monkeypatch):
+    """Rows within the bounds are marked before the dedup reads them, and labels are read once."""
+    from gable.operators import quality
+    from gable.plans import silver
+    from gable.plans.adapter import listings
+
+    read, plain, labels, mapped = [], silver.dedup_by_place, [], quality.label_map
+    monkeypatch.setattr(silver, "dedup_by_place", lambda df, *a, **o: read.append(df) or plain(df, *a, **o))
+    monkeypatch.setattr(quality, "label_map", lambda df, column: labels.append(df) or mapped(df, column))
+    silver.clean_listings(listings(spark, SF))
+    plan = read[0]._jdf.queryExecution().analyzed().toString()
+    assert "upper_bound" not in plan and "__kept" in plan
+    assert len(labels) == 2 and all(df.columns == ["area_name", "ward_name", "category_name"] for df in labels)
+
+
 def test_records_of_the_silver_job_are_compressed(spark, monkeypatch):
     from gable.catalog import feeds, jobs as job_queries
     from gable.sources import sinks
